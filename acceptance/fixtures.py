@@ -192,13 +192,15 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_raw(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str | list[str]]:
-    """Raw parquet folders as the pipeline finds them. The last source comes as two folders that
-    spell and type the zone columns differently."""
+    """Raw parquet folders as the pipeline finds them, about one file per month. The last source
+    comes as two folders that spell and type the zone columns differently."""
     sources: dict[str, str | list[str]] = {}
     for label in ("yellow", "green", "fhvhv"):
         sources[label] = f"{folder}/{label}"
-        raw(spark, sf_dir, label).write.parquet(sources[label])
+        by_month = raw(spark, sf_dir, label).repartitionByRange(12, SPECS[label].pickup.equals_ci)
+        by_month.write.parquet(sources[label])
     frame = spark.sql(fhv(SPARK), lineitem=table(spark, sf_dir, "lineitem"))
+    frame = frame.repartitionByRange(12, "pickup_datetime")
     first, second = f"{folder}/fhv/1", f"{folder}/fhv/2"
     frame.where("batch = 'O'").drop("batch").write.parquet(first)
     (

@@ -18,6 +18,7 @@ def spark():
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -99,35 +100,42 @@ def write_split(
 
 
 def overwrite_months(df: DataFrame, name: str) -> int:
-    """Replace only the partitions that ``df`` holds rows for; other months stay as they are.
-
-    An insert takes this choice from the session alone, so the setting is changed while it runs.
-    """
+    """Replace only the partitions that ``df`` holds rows for; other months stay as they are."""
     spark = df.sparkSession
     ordered = df.select(*[col(column) for column in spark.table(name).columns])
     counted, written = _counted(ordered)
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
+    with _overwriting(spark, "dynamic"):
         counted.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
     return written.get["rows"]
 
 
 def _save(df: DataFrame, name: str, keys: list[str], path: str | None) -> int:
     counted, written = _counted(df)
     writer: DataFrameWriter = counted.write.format("parquet").mode("overwrite")
-    # A session may ask for dynamic overwrites; a full refresh must drop every old partition.
-    writer = writer.option("partitionOverwriteMode", "static")
     if keys:
         writer = writer.partitionBy(*keys)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with _overwriting(df.sparkSession, "static"):
+        writer.saveAsTable(name)
     return written.get["rows"]
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Fix whether an overwrite replaces all partitions or only those it writes.
+
+    Spark takes this from the session. As a write option it would be stored with the table and
+    decide later writes too.
+    """
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     written = Observation()
     return df.observe(written, F.count(F.lit(1)).alias("rows")), written
