@@ -41,5 +41,7 @@ def read_new_files(
     names = [unquote(row[0]) for row in new_files(spark, path, loaded).collect()]
     if names:
         return with_source_file(read_dataset(spark, names, schema))
-    struct = to_struct(schema) or read_dataset(spark, path).schema
-    return spark.createDataFrame([], struct).withColumn(SOURCE_FILE, F.lit(None).cast("string"))
+    struct = to_struct(schema)
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    known = (reader if struct is None else reader.schema(struct)).parquet(path)
+    return with_source_file(known).where(F.lit(False))
