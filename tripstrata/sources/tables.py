@@ -114,10 +114,12 @@ def _save(df: DataFrame, name: str, keys: list[str], path: str | None) -> int:
     writer: DataFrameWriter = counted.write.format("parquet").mode("overwrite")
     if keys:
         writer = writer.partitionBy(*keys)
-    if path:
-        writer = writer.option("path", path)
-    with _overwriting(df.sparkSession, "static"):
+    if path is None:
         writer.saveAsTable(name)
+    else:
+        # Replacing the table does not empty a folder outside the warehouse.
+        with _overwriting(df.sparkSession, "static"):
+            writer.option("path", path).saveAsTable(name)
     return written.get["rows"]
 
 
@@ -126,7 +128,7 @@ def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
     """Fix whether an overwrite replaces all partitions or only those it writes.
 
     Spark takes this from the session. As a write option it would be stored with the table and
-    decide later writes too.
+    decide later writes too. Do not run two such writes of one session at the same time.
     """
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, mode)
