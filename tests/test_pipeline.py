@@ -9,7 +9,15 @@ from acceptance import fixtures as fx
 from tests.rows import START, frame
 from tripstrata import YELLOW
 from tripstrata.operators import demand_patterns, total_trips
-from tripstrata.plans import Layers, dashboard, run_pipeline, silver_report
+from tripstrata.plans import (
+    Layers,
+    build_silver,
+    dashboard,
+    load_bronze,
+    run_pipeline,
+    silver_report,
+)
+from tripstrata.plans.silver import _in_months, month_passes
 from tripstrata.session import scratch_dir
 from tripstrata.sources import read_table
 
@@ -98,6 +106,46 @@ def test_refresh_again_replaces_everything(spark, tmp_path):
         assert [row.pickup_month for row in stored] == [day]
 
 
+def test_passes_over_months_give_the_same_tables(spark, refreshed):
+    layers, counts = refreshed
+    for label, rows in (("yellow", 1), ("fhvhv", 10**9), ("fhv", 2000)):
+        spec = fx.SPECS[label]
+        names = [f"{layers.silver}.{label}_by_pass", f"{layers.silver}.{label}_by_pass_q"]
+        for _ in range(2):
+            again = build_silver(spark, f"{layers.bronze}.{label}", spec, *names, rows_per_pass=rows)
+            assert again == counts.silver[label]
+        for name, whole in zip(names, (layers.clean(label), layers.quarantine(label)), strict=True):
+            assert read_table(spark, name).exceptAll(read_table(spark, whole)).isEmpty()
+
+
+def test_rows_without_pickup_time_are_in_a_pass(spark, tmp_path):
+    rows = [{}, {"tpep_pickup_datetime": None}, {"tpep_pickup_datetime": None},
+            {"tpep_pickup_datetime": START.replace(month=7)}]
+    frame(spark, "yellow", rows).write.parquet(f"{tmp_path}/raw")
+    layers = new_layers(tmp_path / "layers")
+    layers.create(spark)
+    bronze = f"{layers.bronze}.yellow"
+    load_bronze(spark, f"{tmp_path}/raw", YELLOW, bronze)
+    names = layers.clean("yellow"), layers.quarantine("yellow")
+    counts = build_silver(spark, bronze, YELLOW, *names, rows_per_pass=1)
+    assert (counts.clean_rows, counts.quarantined_rows, counts.not_kept) == (1, 2, 1)
+
+
+def test_month_passes():
+    months = [(None, None, 5), (2025, 1, 50), (2025, 2, 40), (2025, 3, 200), (2025, 4, 1)]
+    assert month_passes(months, 100) == [
+        [(None, None), (2025, 1), (2025, 2)], [(2025, 3)], [(2025, 4)],
+    ]
+    assert month_passes([], 100) == [[]]
+
+
+def test_a_pass_reads_only_its_partitions(spark, refreshed):
+    layers, _ = refreshed
+    bronze = read_table(spark, f"{layers.bronze}.yellow")
+    plan = bronze.where(_in_months([(2023, 6)]))._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan.replace("Filters", "") and "PartitionFilters: [(pickup" in plan
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="no spec"):
         run_pipeline(spark, {"boats": "/none"})

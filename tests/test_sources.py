@@ -172,8 +172,8 @@ def test_scratch_dir(spark):
 
 
 def test_recommended_conf_sizes_partitions_by_months(spark):
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    assert recommended_conf(12, 128)[size] == "1536m"
-    assert recommended_conf(1, 128)[size] == "128m"
-    for key in recommended_conf():
-        assert spark.conf.isModifiable(key) or spark.conf.get(key, "unset") is not None
+    conf = recommended_conf(pass_gb=8000, months_per_pass=12, target_file_mb=128)
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "1536m"
+    assert conf["spark.sql.shuffle.partitions"] == "16000"
+    assert recommended_conf(1)["spark.sql.shuffle.partitions"] == "200"
+    assert all(spark.conf.isModifiable(key) for key in conf)

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tripstrata.functions.columns import available_keys, col, match_column, require_column
 from tripstrata.functions.times import minutes_between, seconds_between
 from tripstrata.operators.dedup import dedup_first
 from tripstrata.operators.quality import apply_rules, route, rule_report
+from tripstrata.operators.reports import monthly_counts
 from tripstrata.plans.bronze import MONTH_COLUMNS
 from tripstrata.sources.tables import read_table, write_split
 from tripstrata.spec import DatasetSpec
 
+# A shuffle of this many trips is a few terabytes, which one job handles well.
+ROWS_PER_PASS = 20_000_000_000
+
 
 @dataclass(frozen=True)
 class SilverCounts:
@@ -58,22 +64,30 @@ def build_silver(
     clean: str,
     quarantine: str,
     null_policy: str = "quarantine",
+    rows_per_pass: int = ROWS_PER_PASS,
 ) -> SilverCounts:
-    """Write the clean and quarantined trips of one dataset in one job.
+    """Write the clean and quarantined trips of one dataset.
 
-    The only shuffle is that of the deduplication. The counts come from parquet footers: the
-    bronze table is not scanned again, and the split is counted by partition.
+    The only shuffle is that of the deduplication. Duplicates share their pickup time and with it
+    their month, so a table too large for one shuffle is worked off in passes over whole months,
+    each of at most ``rows_per_pass`` rows unless a single month has more. A pass reads only its
+    own partitions. All counts come from parquet footers.
     """
     bronze = read_table(spark, bronze_table)
-    checked = checked_frame(bronze, spec)
-    written = write_split(
-        route(checked, null_policy),
-        clean,
-        quarantine,
-        pickup=require_column(bronze, spec.pickup, "pickup datetime"),
-        partition_by=MONTH_COLUMNS,
-    )
-    bronze_rows = bronze.count()
+    pickup = require_column(bronze, spec.pickup, "pickup datetime")
+    months = [tuple(row) for row in monthly_counts(bronze).collect()]
+    written = 0
+    for number, part in enumerate(month_passes(months, rows_per_pass)):
+        rows = bronze if len(part) == len(months) else bronze.where(_in_months(part))
+        written += write_split(
+            route(checked_frame(rows, spec), null_policy),
+            clean,
+            quarantine,
+            pickup=pickup,
+            partition_by=MONTH_COLUMNS,
+            append=number > 0,
+        )
+    bronze_rows = sum(rows for _, _, rows in months)
     clean_rows = read_table(spark, clean).count()
     return SilverCounts(
         bronze_rows=bronze_rows,
@@ -83,6 +97,32 @@ def build_silver(
     )
 
 
+def month_passes(
+    months: list[tuple[int | None, int | None, int]], rows_per_pass: int
+) -> list[list[tuple[int | None, int | None]]]:
+    """Group (year, month, rows) into consecutive passes, always at least one pass."""
+    passes: list[list[tuple[int | None, int | None]]] = [[]]
+    filled = 0
+    for year, month, rows in months:
+        if passes[-1] and filled + rows > rows_per_pass:
+            passes.append([])
+            filled = 0
+        passes[-1].append((year, month))
+        filled += rows
+    return passes
+
+
+def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
+    """A filter on the partition columns alone, also for rows without a pickup time."""
+    return reduce(
+        or_,
+        [
+            col(MONTH_COLUMNS[0]).eqNullSafe(year) & col(MONTH_COLUMNS[1]).eqNullSafe(month)
+            for year, month in months
+        ],
+    )
+
+
 def silver_report(spark: SparkSession, clean: str, spec: DatasetSpec) -> DataFrame:
     """Failures per rule over both halves of a split, read from the stored flag columns only."""
     return rule_report(read_table(spark, f"{clean}_checked"), spec.rules)

@@ -4,25 +4,38 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_GROWTH = 3
 
-def recommended_conf(months_per_load: int = 12, target_file_mb: int = 128) -> dict[str, str]:
-    """Settings for a cluster run.
+
+def recommended_conf(
+    pass_gb: float, months_per_pass: int = 1, target_file_mb: int = 256
+) -> dict[str, str]:
+    """Settings for a cluster run whose largest pass reads ``pass_gb`` of parquet.
 
     The clean table is written straight from the deduplication shuffle, so every task writes one
-    file per month it holds. Partitions of ``months_per_load * target_file_mb`` therefore give
-    files of the target size without a second shuffle; a monthly load needs partitions of one file.
+    file per month it holds. Partitions of ``months_per_pass * target_file_mb`` therefore give
+    files of the target size without a second shuffle. Spark merges small partitions at run time
+    but never adds any, so it starts from the number that the shuffled rows, about
+    ``SHUFFLE_GROWTH`` times their parquet size, need.
+
+    With a writer per month and side a task need not sort its rows again before it writes them;
+    their buffers together hold at most the task's own output.
     """
+    partition_mb = months_per_pass * target_file_mb
+    partitions = max(200, ceil(pass_gb * 1024 * SHUFFLE_GROWTH / partition_mb))
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{months_per_load * target_file_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": "512m",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.maxConcurrentOutputFileWriters": str(2 * months_per_pass + 2),
     }
 
 

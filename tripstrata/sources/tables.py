@@ -66,7 +66,7 @@ def write_split(
     quarantine: str,
     pickup: str,
     partition_by: tuple[str, str] = ("pickup_year", "pickup_month"),
-    path: str | None = None,
+    append: bool = False,
 ) -> int:
     """Write the two sides of a routed frame in one job and return the rows written.
 
@@ -76,6 +76,8 @@ def write_split(
     halves. Clean trips are partitioned by month and filters on those columns prune partitions.
     Quarantined rows are few and share one partition, to avoid a tiny file per month and task;
     their month columns are computed from the pickup time again when they are read.
+
+    ``append`` adds to what an earlier call stored instead of replacing it.
     """
     spark = routed.sparkSession
     year, month = partition_by
@@ -85,7 +87,7 @@ def write_split(
         routed.withColumns({name: F.when(accepted, col(name)) for name in partition_by}),
         stored,
         [ROUTE, year, month],
-        path,
+        mode="append" if append else "overwrite",
     )
     columns = [name for name in routed.columns if name != ROUTE]
     derived = {year: f"year(`{pickup}`)", month: f"month(`{pickup}`)"}
@@ -109,9 +111,11 @@ def overwrite_months(df: DataFrame, name: str) -> int:
     return written.get["rows"]
 
 
-def _save(df: DataFrame, name: str, keys: list[str], path: str | None) -> int:
+def _save(
+    df: DataFrame, name: str, keys: list[str], path: str | None = None, mode: str = "overwrite"
+) -> int:
     counted, written = _counted(df)
-    writer: DataFrameWriter = counted.write.format("parquet").mode("overwrite")
+    writer: DataFrameWriter = counted.write.format("parquet").mode(mode)
     if keys:
         writer = writer.partitionBy(*keys)
     if path is None:
