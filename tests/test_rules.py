@@ -139,6 +139,15 @@ def test_one_sided_bounds(spark):
     assert [row.id for row in kept.collect()] == [3]
 
 
+def test_time_window_rule(spark):
+    window = Rule.window("window", "pickup_datetime", datetime(2025, 5, 1), datetime(2025, 6, 1))
+    days = (datetime(2025, 4, 30, 23, 59, 59), datetime(2025, 5, 1), datetime(2025, 5, 31, 23, 59),
+            datetime(2025, 6, 1))
+    rows = frame(spark, "fhv", [{"pickup_datetime": day} for day in days])
+    seen = {r.pickup_datetime: r.is_valid_window for r in apply_rules(rows, [window]).collect()}
+    assert [seen[day] for day in days] == [False, True, True, False]
+
+
 def test_wall_clock_times_do_not_move_with_the_session_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -79,9 +79,10 @@ def duration_stats(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Count, mean, median, 90th percentile, minimum and maximum trip minutes per type.
 
     By default trips are first counted per type and whole second. That table has at most one row
-    per possible duration, 10,741 per type for clean trips, however many trips there are, and
-    gives exact percentiles. With ``accuracy``, ``percentile_approx`` runs over the trips instead;
-    every map task then sends up to ``accuracy`` samples per type to one reducer.
+    per possible duration, 10,741 per type for clean trips (for unchecked ones, one per second of
+    the time the data spans), however many trips there are, and gives exact percentiles. With
+    ``accuracy``, ``percentile_approx`` runs over the trips instead; every map task then sends up
+    to ``accuracy`` samples per type to one reducer.
     """
     if accuracy is not None:
         return _approximate_stats(trips, accuracy)

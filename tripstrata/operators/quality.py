@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.functions.columns import col, find_column
 from tripstrata.names import CLEAN, QUARANTINE, ROUTE, VERDICT
-from tripstrata.spec import Rule
+from tripstrata.spec import Bound, Rule
 
 NULL_POLICIES = ("quarantine", "drop")
 
@@ -36,19 +37,26 @@ def rule_flag(df: DataFrame, rule: Rule) -> Column:
 
 def _within(value: Column, rule: Rule) -> Column:
     tests = []
-    if rule.low is not None and rule.high is not None:
-        tests.append(value.between(rule.low, rule.high))
-    elif rule.low is not None:
-        tests.append(value >= rule.low)
-    elif rule.high is not None:
-        tests.append(value <= rule.high)
+    if rule.low is not None:
+        tests.append(value >= _bound(rule.low))
+    if rule.high is not None:
+        tests.append(value <= _bound(rule.high))
     if rule.above is not None:
-        tests.append(value > rule.above)
+        tests.append(value > _bound(rule.above))
+    if rule.below is not None:
+        tests.append(value < _bound(rule.below))
     if not tests:
         raise ValueError(f"rule {rule.name} has no bound")
     return reduce(and_, tests)
 
 
+def _bound(value: Bound) -> Column:
+    if isinstance(value, datetime):
+        # A datetime literal would be read in the zone of the driver's machine.
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def route(checked: DataFrame, null_policy: str = "quarantine") -> DataFrame:
     """Add ``_route``. A row is clean when every check is true.
 

@@ -7,6 +7,9 @@ Everything here is data. The operators read these descriptions, so a further sou
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from datetime import datetime
+
+Bound = int | float | datetime
 
 
 @dataclass(frozen=True)
@@ -29,15 +32,17 @@ def named(name: str) -> ColumnMatch:
 class Rule:
     """A bounds check over one or more columns, all of which must pass.
 
-    ``low``/``high`` are inclusive, ``above`` is exclusive. An ``optional`` rule passes every row
-    when one of its columns does not exist.
+    ``low``/``high`` are inclusive, ``above``/``below`` are exclusive. Bounds of time columns are
+    datetimes without offset. An ``optional`` rule passes every row when one of its columns does
+    not exist.
     """
 
     name: str
     columns: tuple[str, ...]
-    low: float | None = None
-    high: float | None = None
-    above: float | None = None
+    low: Bound | None = None
+    high: Bound | None = None
+    above: Bound | None = None
+    below: Bound | None = None
     optional: bool = False
 
     @classmethod
@@ -48,6 +53,12 @@ class Rule:
     def gt(cls, name: str, columns: str | tuple[str, ...], bound, optional=False) -> Rule:
         return cls(name, _as_tuple(columns), above=bound, optional=optional)
 
+    @classmethod
+    def window(cls, name: str, column: str, start: datetime, end: datetime) -> Rule:
+        """Times from ``start`` on and before ``end``. No source has such a rule by default: add
+        one to keep trips with dates outside the loaded months out of the clean table."""
+        return cls(name, (column,), low=start, below=end)
+
     @property
     def flag(self) -> str:
         return f"is_valid_{self.name}"
