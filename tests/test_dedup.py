@@ -101,6 +101,12 @@ def test_unorderable_columns_need_a_named_tiebreak(spark):
     assert dedup_first(rows, ["id"], tiebreak=["id"]).count() == 3
 
 
+def test_keys_are_required(spark):
+    for operator in (dedup_first, dedup_report):
+        with pytest.raises(ValueError, match="key"):
+            operator(spark.range(3), [])
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     """One key holds almost all rows; each map task sends one row of it."""
     rows = spark.range(0, 200_000, 1, 8).select(

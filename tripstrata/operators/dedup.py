@@ -33,6 +33,7 @@ def dedup_first(
 
     Rows whose keys are all NULL count as one key. ``keep_null_keys`` keeps every one of them.
     """
+    _require_keys(keys)
     ranking = order_columns(df, keys, order_by, tiebreak)
     window = Window.partitionBy(*[col(key) for key in keys]).orderBy(
         *[col(name).asc_nulls_first() for name in ranking]
@@ -64,11 +65,18 @@ def order_columns(
     return ranking or list(keys)[:1]
 
 
+def _require_keys(keys: Sequence[str]) -> None:
+    """Without keys all rows would be one group in one task."""
+    if not keys:
+        raise ValueError("deduplication needs at least one key column")
+
+
 def dedup_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before, rows after and duplicates removed, from the key columns alone.
 
     Counting per key first means a frequent key is summed up before the shuffle.
     """
+    _require_keys(keys)
     per_key = df.groupBy(*[col(key) for key in keys]).agg(F.count(F.lit(1)).alias("copies"))
     totals = per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_before"),
