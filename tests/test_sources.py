@@ -11,6 +11,7 @@ from tripstrata.plans import bronze_frame, load_bronze
 from tripstrata.session import recommended_conf, scratch_dir
 from tripstrata.sources import (
     new_files,
+    overwrite_months,
     read_dataset,
     read_drifting,
     read_new_files,
@@ -163,6 +164,21 @@ def test_arrivals_are_loaded_once(spark, folder, database):
     assert read_table(spark, table).count() == 6
 
 
+def test_streamed_and_other_tables_are_kept_apart(spark, folder, database):
+    table, state = f"{database}.yellow", f"{folder}/state"
+    frame(spark, "yellow", [{}]).write.parquet(f"{folder}/in")
+    load_bronze(spark, f"{folder}/in", YELLOW, table)
+    with pytest.raises(ValueError, match="written otherwise"):
+        load_arrivals(spark, f"{folder}/in", YELLOW, table, state)
+    own = f"{database}.own"
+    load_arrivals(spark, f"{folder}/in", YELLOW, own, state)
+    partitions = spark.sql(f"SHOW CREATE TABLE {own}").first()[0]
+    assert "PARTITIONED BY (pickup_year, pickup_month)" in partitions
+    with pytest.raises(ValueError, match="stream"):
+        overwrite_months(read_table(spark, table), own)
+    assert read_table(spark, own).count() == read_table(spark, table).count() == 1
+
+
 def test_scratch_dir(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second

@@ -35,6 +35,8 @@ def recommended_conf(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": "512m",
+        # On by default; without it a key on many rows would reach one reducer whole.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
         "spark.sql.maxConcurrentOutputFileWriters": str(2 * months_per_pass + 2),
     }
 

@@ -12,6 +12,9 @@ from tripstrata.functions.columns import col
 from tripstrata.names import CLEAN, QUARANTINE, ROUTE
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# Table property of tables that a stream appends to. Spark reads those through the log of the stream
+# and would not see files that another writer adds, nor show what was there before.
+STREAMED = "tripstrata.streamed"
 
 
 def ensure_layers(
@@ -104,6 +107,8 @@ def write_split(
 def overwrite_months(df: DataFrame, name: str) -> int:
     """Replace only the partitions that ``df`` holds rows for; other months stay as they are."""
     spark = df.sparkSession
+    if is_streamed(spark, name):
+        raise ValueError(f"{name} is appended to by a stream; rows of other writers would not show")
     ordered = df.select(*[col(column) for column in spark.table(name).columns])
     counted, written = _counted(ordered)
     with _overwriting(spark, "dynamic"):
@@ -111,6 +116,25 @@ def overwrite_months(df: DataFrame, name: str) -> int:
     return written.get["rows"]
 
 
+def is_streamed(spark: SparkSession, name: str) -> bool:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return any(row.key == STREAMED for row in properties)
+
+
+def create_streamed(df: DataFrame, name: str, partition_by: Iterable[str]) -> None:
+    """Create the table a stream appends to, or make sure that an existing one is such a table."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        if not is_streamed(spark, name):
+            raise ValueError(f"{name} was written otherwise; a stream would hide its rows")
+        return
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(partition_by)}) TBLPROPERTIES ('{STREAMED}' = 'true')"
+    )
+
+
 def _save(
     df: DataFrame, name: str, keys: list[str], path: str | None = None, mode: str = "overwrite"
 ) -> int:
