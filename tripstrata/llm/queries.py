@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstrata.llm.bpe import encode_documents
+from tripstrata.llm.class_lm import score_documents
+from tripstrata.llm.decontaminate import find_passages
 from tripstrata.llm.jaccard import jaccard_components
 from tripstrata.llm.repetition import repetition_rules
 from tripstrata.llm.token_blocks import token_files_roundtrip
@@ -30,6 +32,11 @@ def op1_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_passages(documents(spark, sf_dir), benchmark)
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
@@ -44,11 +51,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_roundtrip(documents(spark, sf_dir), path, END_ID)
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_encode": op1_encode,
+    "op2_decontaminate": op2_decontaminate,
     "op7_jaccard": op7_jaccard,
     "op8_repetition": op8_repetition,
     "op9_token_files": op9_token_files,
+    "op10_class_lm": op10_class_lm,
 }
 
 ORACLES: dict[str, str] = {}
