@@ -11,11 +11,14 @@ from tripstrata.llm.class_lm import score_documents
 from tripstrata.llm.decontaminate import find_passages
 from tripstrata.llm.jaccard import jaccard_components
 from tripstrata.llm.repetition import repetition_rules
+from tripstrata.llm.secrets import secret_digests
+from tripstrata.llm.sharding import with_shards
 from tripstrata.llm.token_blocks import token_files_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 END_ID = 2
+SHARD_BYTES = 1 << 20
 
 
 def tokenizer(name: str) -> str:
@@ -37,6 +40,15 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(documents(spark, sf_dir), benchmark)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(documents(spark, sf_dir))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return with_shards(docs, SHARD_BYTES).drop("text")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
@@ -58,10 +70,29 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_encode": op1_encode,
     "op2_decontaminate": op2_decontaminate,
+    "op3_secrets": op3_secrets,
+    "op6_sharding": op6_sharding,
     "op7_jaccard": op7_jaccard,
     "op8_repetition": op8_repetition,
     "op9_token_files": op9_token_files,
     "op10_class_lm": op10_class_lm,
 }
 
-ORACLES: dict[str, str] = {}
+_KEY = "CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)"
+ORACLES: dict[str, str] = {
+    # A document's bucket is the shallowest one around it that needs no split.
+    "op6_sharding": f"""
+WITH keyed AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes, {_KEY} AS k FROM documents),
+nodes AS (
+  SELECT CAST(depth AS INTEGER) AS depth, k >> CAST(60 - depth AS INTEGER) AS prefix,
+         CAST(sum(n_bytes) AS BIGINT) AS bytes, count(DISTINCT k) AS kinds
+  FROM keyed, range(0, 61) AS d(depth) GROUP BY ALL),
+ends AS (SELECT depth, prefix, bytes FROM nodes WHERE bytes <= {SHARD_BYTES} OR kinds = 1)
+SELECT doc_id, n_bytes, depth AS shard_depth, prefix AS shard_prefix, bytes AS shard_bytes,
+       bytes > {SHARD_BYTES} AS oversized
+FROM (SELECT doc_id, n_bytes, depth, prefix, bytes,
+             min(depth) OVER (PARTITION BY k) AS least
+      FROM keyed JOIN ends ON k >> CAST(60 - depth AS INTEGER) = prefix)
+WHERE depth = least""",
+}
