@@ -10,6 +10,8 @@ from tripstrata.llm.bpe import encode_documents
 from tripstrata.llm.class_lm import score_documents
 from tripstrata.llm.decontaminate import find_passages
 from tripstrata.llm.jaccard import jaccard_components
+from tripstrata.llm.language import predict_language
+from tripstrata.llm.quality_model import score_quality
 from tripstrata.llm.repetition import repetition_rules
 from tripstrata.llm.secrets import secret_digests
 from tripstrata.llm.sharding import with_shards
@@ -44,6 +46,15 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(documents(spark, sf_dir))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(documents(spark, sf_dir))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_quality(documents(spark, sf_dir), labels)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return with_shards(docs, SHARD_BYTES).drop("text")
@@ -71,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op1_encode": op1_encode,
     "op2_decontaminate": op2_decontaminate,
     "op3_secrets": op3_secrets,
+    "op4_language": op4_language,
+    "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
     "op7_jaccard": op7_jaccard,
     "op8_repetition": op8_repetition,
