@@ -25,8 +25,8 @@ BITS = 12
 SIZE = 1 << BITS
 ORDERS = (1, 2, 3)
 SAMPLE = 6000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-3, 1e-4
+EPOCHS, STEPS = 4, 1500  # passes, and updates at least
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.1, 1e-4
 
 
 def term_frequencies(texts: list[str]) -> np.ndarray:
@@ -79,17 +79,17 @@ def _sample_rows(batches):
         )
 
 
-def fit(x: np.ndarray, y: np.ndarray, classes: int, batch: int = 32) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, classes: int, l1: float = L1, batch: int = 32) -> np.ndarray:
     """Weights (terms and a bias by classes) after some passes of FTRL-proximal."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     z, n = np.zeros((x.shape[1], classes)), np.zeros((x.shape[1], classes))
 
     def weights():
         step = (BETA + np.sqrt(n)) / ALPHA + L2
-        return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / step)
+        return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / step)
 
     random = np.random.default_rng(7)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * batch // max(len(x), 1)))):
         order = random.permutation(len(x))
         for lo in range(0, len(x), batch):
             rows = order[lo : lo + batch]
