@@ -23,6 +23,7 @@ from tripstrata.plans.bronze import MONTH_COLUMNS, bronze_frame
 from tripstrata.session import scratch_dir
 from tripstrata.sources import (
     ensure_layers,
+    in_months,
     overwrite_months,
     read_dataset,
     read_drifting,
@@ -158,8 +159,10 @@ def overwrite_some_months(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     dated = with_partition_columns(orders, "o_orderdate").drop("o_orderdate")
     write_table(dated.withColumn("load", F.lit("first")), table, partition_by=MONTH_COLUMNS)
-    again = dated.where("pickup_year = 1997").withColumn("load", F.lit("second"))
-    overwrite_months(again, table)
+    # The second load holds rows of other months too, as monthly files do.
+    again = dated.where("pickup_year = 1997 OR o_orderkey % 7 = 0").withColumn("load", F.lit("second"))
+    months = [(1997, month) for month in range(1, 13)]
+    overwrite_months(again.where(in_months(months)), table, months)
     return read_table(spark, table)
 
 

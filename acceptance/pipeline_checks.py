@@ -12,13 +12,24 @@ from acceptance import fixtures as fx
 from acceptance.mart_checks import MONEY, rounded
 from acceptance.registry import FLAGS, check
 from tripstrata.operators import monthly_counts
-from tripstrata.plans import Layers, dashboard, run_pipeline, silver_report
+from tripstrata.plans import Layers, dashboard, refresh_months, run_pipeline, silver_report
 from tripstrata.plans.gold import DEMAND, DURATION, REVENUE, UNIFIED
 from tripstrata.session import scratch_dir
-from tripstrata.sources import read_table
+from tripstrata.sources import in_months, overwrite_months, read_table
+
+
+_REFRESHED: dict[tuple[str, str], Layers] = {}
 
 
 def full_refresh(spark, sf_dir) -> Layers:
+    """Every step from the given tables, done once for a session and its data."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REFRESHED:
+        _REFRESHED[key] = new_refresh(spark, sf_dir)
+    return _REFRESHED[key]
+
+
+def new_refresh(spark, sf_dir) -> Layers:
     """Raw folders from the given tables, then every step. Databases are new on each run."""
     run = uuid.uuid4().hex
     names = [f"{layer}_{run}" for layer in ("bronze", "silver", "gold")]
@@ -65,6 +76,32 @@ def refresh_trips(spark, sf_dir):
     return read_table(spark, f"{full_refresh(spark, sf_dir).gold}.{UNIFIED}")
 
 
+@check("SELECT * FROM trips", uses=("trips",))
+def refresh_then_add_month(spark, sf_dir):
+    """A month is taken out of a raw table and put back; each time only it is worked on again."""
+    layers = new_refresh(spark, sf_dir)
+    table, months = f"{layers.bronze}.yellow", [(1995, 3), (1995, 4)]
+    path = scratch_dir(spark, "month")
+    raw = read_table(spark, table)
+    raw.where(in_months(months)).write.parquet(path)
+    for rows in (raw.limit(0), spark.read.schema(raw.schema).parquet(path)):
+        overwrite_months(rows, table, months)
+        refresh_months(spark, layers, months, fx.SPECS.values())
+    return read_table(spark, f"{layers.gold}.{UNIFIED}")
+
+
+@check("SELECT * FROM trips", uses=("trips",))
+def refresh_in_passes(spark, sf_dir):
+    """Clean tables built in several passes over months, under the settings of a cluster."""
+    run = uuid.uuid4().hex
+    layers = Layers(*(f"{x}_{run}" for x in ("bronze", "silver", "gold")), scratch_dir(spark, "layers"))
+    sources = fx.write_raw(spark, sf_dir, scratch_dir(spark, "raw"))
+    run_pipeline(
+        spark, sources, layers, fx.SPECS.values(), drifting=("fhv",), rows_per_pass=20_000, layout="rebalance"
+    )
+    return read_table(spark, f"{layers.gold}.{UNIFIED}")
+
+
 @check("SELECT * FROM demand", uses=("demand",))
 def refresh_demand(spark, sf_dir):
     return read_table(spark, f"{full_refresh(spark, sf_dir).gold}.{DEMAND}")
@@ -120,11 +157,50 @@ def dashboard_top_zones(spark, sf_dir):
 
 @check(
     "SELECT pickup_hour, round(sum(total_revenue) FILTER (trip_type = 'yellow'), 2) AS yellow, "
-    "round(sum(total_revenue) FILTER (trip_type = 'green'), 2) AS green "
+    "round(sum(total_revenue) FILTER (trip_type = 'green'), 2) AS green, "
+    "round(sum(total_revenue) FILTER (trip_type = 'fhvhv'), 2) AS fhvhv "
     "FROM revenue GROUP BY pickup_hour",
     uses=("revenue",),
 )
 def dashboard_revenue_by_hour(spark, sf_dir):
     layers = full_refresh(spark, sf_dir)
     pages = dashboard(spark, layers.gold, ("yellow", "green"))
-    return rounded(pages["revenue_by_hour"], "yellow", "green")
+    return rounded(pages["revenue_by_hour"], "yellow", "green", "fhvhv")
+
+
+def _page(name):
+    def query(spark, sf_dir):
+        return dashboard(spark, full_refresh(spark, sf_dir).gold, ("yellow", "fhv"))[name]
+
+    query.__name__ = f"dashboard_{name}"
+    return query
+
+
+_COUNT = "CAST(sum(trip_count) AS BIGINT)"
+for _name, _sql in {
+    "trips_by_type": f"SELECT trip_type, {_COUNT} AS trip_count FROM demand GROUP BY trip_type",
+    "total_trips": f"SELECT {_COUNT} AS total_trips FROM demand",
+    "type_options": "SELECT DISTINCT trip_type FROM demand",
+    "demand_by_hour": "SELECT pickup_hour, "
+    "CAST(sum(trip_count) FILTER (trip_type = 'yellow') AS BIGINT) AS yellow, "
+    "CAST(sum(trip_count) FILTER (trip_type = 'fhv') AS BIGINT) AS fhv "
+    "FROM demand WHERE trip_type IN ('yellow', 'fhv') GROUP BY pickup_hour",
+}.items():
+    check(_sql, uses=("demand",))(_page(_name))
+
+
+@check("SELECT * FROM durations", uses=("durations",))
+def dashboard_duration_summary(spark, sf_dir):
+    return dashboard(spark, full_refresh(spark, sf_dir).gold, fx.LABELS)["duration_summary"]
+
+
+@check(
+    "SELECT trip_type, round(sum(total_revenue), 2) AS revenue, "
+    f"{_COUNT} AS trip_count, round(sum(total_revenue) / sum(trip_count), 1) AS per_trip "
+    "FROM revenue GROUP BY trip_type",
+    uses=("revenue",),
+)
+def dashboard_revenue_by_type(spark, sf_dir):
+    page = dashboard(spark, full_refresh(spark, sf_dir).gold, fx.LABELS)["revenue_by_type"]
+    per_trip = F.round(F.col("revenue") / F.col("trip_count"), 1).alias("per_trip")
+    return rounded(page.select("trip_type", "revenue", "trip_count", per_trip), "revenue")

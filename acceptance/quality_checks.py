@@ -186,7 +186,7 @@ def split_roundtrip(spark, sf_dir):
     database = _database(spark)
     routed = route(_checked(spark, sf_dir, "fhvhv"))
     clean, rejected = f"{database}.trips", f"{database}.trips_quarantine"
-    write_split(routed, clean, rejected, pickup="pickup_datetime")
+    write_split(routed, clean, rejected)
     halves = [
         read_table(spark, name).select(
             "dispatching_base_num",

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from acceptance import fixtures as fx
-from tripstrata.datasets import DURATION_BOUNDS_MIN, DURATION_BOUNDS_SEC
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,9 +54,9 @@ _METERED_FLAGS = {
     "is_valid_passenger_count": "passenger_count BETWEEN 1 AND 6",
     "is_valid_distance": "trip_distance > 0",
     "is_valid_fare": "fare_amount BETWEEN 2.5 AND 250",
-    "is_valid_duration": "trip_duration_min BETWEEN {} AND {}".format(*DURATION_BOUNDS_MIN),
+    "is_valid_duration": "trip_duration_min BETWEEN 1 AND 180",
 }
-_SECONDS = "BETWEEN {} AND {}".format(*DURATION_BOUNDS_SEC)
+_SECONDS = "BETWEEN 60 AND 10800"
 FLAGS = {
     "yellow": _METERED_FLAGS,
     "green": _METERED_FLAGS,

@@ -118,3 +118,10 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     before_shuffle = plan[plan.index("Exchange"):]
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
     assert kept.count() == 2001
+
+
+def test_a_missing_key_is_an_error_unless_the_source_may_lack_it(spark):
+    rows = frame(spark, "yellow", [{}]).drop("VendorID")
+    with pytest.raises(ValueError, match="VendorID"):
+        dedup_keys(rows, YELLOW)
+    assert "VendorID" not in dedup_keys(rows, YELLOW.with_(may_lack_columns=True))

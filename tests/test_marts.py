@@ -25,6 +25,7 @@ from tripstrata.operators import (
     top_zones,
     total_trips,
     trips_by_type,
+    incomplete_sources,
     unify_trips,
 )
 from tripstrata.sources import with_partition_columns
@@ -70,6 +71,12 @@ def test_incomplete_source_is_skipped_or_an_error(spark):
     sources["fhv"] = sources["fhv"].drop("dropOff_datetime")
     labels = {r.trip_type for r in unify_trips(sources, SPECS).collect()}
     assert labels == {"yellow", "green", "fhvhv"}
+    sources["green"] = sources["green"].drop("lpep_pickup_datetime")
+    with pytest.raises(ValueError, match="green has no column"):
+        unify_trips(sources, SPECS)
+    assert set(incomplete_sources(sources, SPECS)) == {"fhv", "green"}
+    assert unify_trips(sources, SPECS, on_missing="skip").count() == 2
+    sources["green"] = all_sources(spark)["green"]
     with pytest.raises(ValueError, match="fhv has no column"):
         unify_trips(sources, SPECS, on_missing="raise")
     with pytest.raises(ValueError, match="on_missing"):

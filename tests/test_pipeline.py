@@ -11,15 +11,17 @@ from tripstrata import YELLOW
 from tripstrata.operators import demand_patterns, total_trips
 from tripstrata.plans import (
     Layers,
+    bronze_frame,
     build_silver,
     dashboard,
     load_bronze,
+    refresh_months,
     run_pipeline,
     silver_report,
 )
-from tripstrata.plans.silver import _in_months, month_passes
+from tripstrata.plans.silver import month_passes
 from tripstrata.session import scratch_dir
-from tripstrata.sources import read_table
+from tripstrata.sources import in_months, overwrite_months, read_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,8 +75,14 @@ def test_dashboard(spark, refreshed):
     assert pages["duration_summary"].count() == 4
     assert pages["trips_by_type"].count() == 4
     assert {r.trip_type for r in pages["revenue_by_type"].collect()} == {"yellow", "green", "fhvhv"}
-    # The source without fares has no revenue in any hour.
-    assert pages["revenue_by_hour"].where("fhv IS NOT NULL").isEmpty()
+    # Every source with fares has its column, whatever types are chosen.
+    assert pages["revenue_by_hour"].columns == ["pickup_hour", "fhvhv", "green", "yellow"]
+    for name in ("demand_by_hour", "revenue_by_hour"):
+        plan = pages[name]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("rangepartitioning") == 1, "only the result is sorted"
+    for name in ("trips_by_type", "total_trips", "type_options"):
+        plan = pages[name]._jdf.queryExecution().executedPlan().toString()
+        assert "trips_unified" not in plan
 
 
 def test_one_source_and_dropped_nulls(spark, tmp_path):
@@ -142,10 +150,44 @@ def test_month_passes():
 def test_a_pass_reads_only_its_partitions(spark, refreshed):
     layers, _ = refreshed
     bronze = read_table(spark, f"{layers.bronze}.yellow")
-    plan = bronze.where(_in_months([(2023, 6)]))._jdf.queryExecution().executedPlan().toString()
+    plan = bronze.where(in_months([(2023, 6)]))._jdf.queryExecution().executedPlan().toString()
     assert "Filter" not in plan.replace("Filters", "") and "PartitionFilters: [(pickup" in plan
 
 
+def test_months_are_refreshed_alone(spark, tmp_path):
+    may, june = START.replace(month=5), START.replace(month=6)
+
+    def raw(times):
+        changes = [
+            {"tpep_pickup_datetime": t, "tpep_dropoff_datetime": t.replace(hour=14), "VendorID": k}
+            for k, t in enumerate(times)
+        ]
+        return frame(spark, "yellow", changes)
+
+    raw([may, may, june]).write.parquet(f"{tmp_path}/raw")
+    layers = new_layers(tmp_path / "layers")
+    counts = run_pipeline(spark, {"yellow": f"{tmp_path}/raw"}, layers, [YELLOW])
+    assert counts.skipped == {} and "VendorID" in counts.keys["yellow"]
+    table = f"{layers.bronze}.yellow"
+    raw([june, june, june, june]).write.parquet(f"{tmp_path}/again")
+    again = bronze_frame(spark.read.parquet(f"{tmp_path}/again"), YELLOW)
+    overwrite_months(again, table, [(june.year, 6)])
+    refresh_months(spark, layers, [(june.year, 6)], [YELLOW])
+    gold = read_table(spark, f"{layers.gold}.trips_unified")
+    assert sorted(r.pickup_month for r in gold.collect()) == [5, 5, 6, 6, 6, 6]
+    assert read_table(spark, f"{layers.gold}.trip_duration_stats").first().trip_count == 6
+
+
+def test_a_source_left_out_is_reported(spark, tmp_path):
+    frame(spark, "yellow", [{}]).write.parquet(f"{tmp_path}/yellow")
+    frame(spark, "fhv", [{}]).drop("dropOff_datetime").write.parquet(f"{tmp_path}/fhv")
+    layers = new_layers(tmp_path / "layers")
+    sources = {"yellow": f"{tmp_path}/yellow", "fhv": f"{tmp_path}/fhv"}
+    counts = run_pipeline(spark, sources, layers)
+    assert counts.skipped == {"fhv": ["dropoff_datetime"]}
+    assert counts.gold["trips_unified"] == 1
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="no spec"):
         run_pipeline(spark, {"boats": "/none"})

@@ -175,7 +175,7 @@ def test_streamed_and_other_tables_are_kept_apart(spark, folder, database):
     partitions = spark.sql(f"SHOW CREATE TABLE {own}").first()[0]
     assert "PARTITIONED BY (pickup_year, pickup_month)" in partitions
     with pytest.raises(ValueError, match="stream"):
-        overwrite_months(read_table(spark, table), own)
+        overwrite_months(read_table(spark, table), own, [(2025, 5)])
     assert read_table(spark, own).count() == read_table(spark, table).count() == 1
 
 

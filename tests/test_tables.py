@@ -3,15 +3,19 @@ from pyspark.sql import functions as F
 
 from tests.rows import START, frame
 from tripstrata import FHVHV
+from tripstrata.names import SOURCE_FILE
 from tripstrata.operators import apply_rules, route
 from tripstrata.plans import with_duration
 from tripstrata.sources import (
     ensure_layers,
+    in_months,
     overwrite_months,
     read_table,
+    replace_files,
     run_query,
     with_partition_columns,
     write_split,
+    write_split_passes,
     write_table,
 )
 
@@ -73,9 +77,69 @@ def test_empty_table(spark, database):
 def test_overwrite_months_leaves_other_months(spark, database):
     table = f"{database}.t"
     write_table(trips(spark, [1, 2, 2]), table, MONTHS)
-    assert overwrite_months(trips(spark, [2, 3]).withColumn("tips", F.lit(9.0)), table) == 2
+    months = [(r.pickup_year, r.pickup_month) for r in trips(spark, [2, 3]).collect()]
+    assert overwrite_months(trips(spark, [2, 3]).withColumn("tips", F.lit(9.0)), table, months) == 2
     stored = sorted((r.pickup_month, r.tips) for r in read_table(spark, table).collect())
     assert stored == [(1, 2.0), (2, 9.0), (3, 9.0)]
+    assert overwrite_months(read_table(spark, table).limit(0), table, months[:1]) == 0
+    assert sorted(r.pickup_month for r in read_table(spark, table).collect()) == [1, 3]
+
+
+def test_a_stray_row_never_replaces_a_month(spark, database):
+    table = f"{database}.t"
+    write_table(trips(spark, [5] * 100), table, MONTHS)
+    new = trips(spark, [6] * 10 + [5])
+    june = [(new.first().pickup_year, 6)]
+    with pytest.raises(ValueError, match="not to be replaced"):
+        overwrite_months(new, table, june)
+    assert read_table(spark, table).count() == 100
+    assert overwrite_months(new.where(in_months(june)), table, june) == 10
+    assert read_table(spark, table).where("pickup_month = 5").count() == 100
+
+
+def test_a_file_is_replaced_with_its_stray_rows(spark, database):
+    table = f"{database}.t"
+
+    def loaded(months, name, tips):
+        named = trips(spark, months).withColumn(SOURCE_FILE, F.lit(name))
+        return named.withColumn("tips", F.lit(tips))
+
+    first = loaded([5] * 3, "may", 1.0).unionByName(loaded([6, 6, 5], "june", 1.0))
+    write_table(first.select(*[c for c in first.columns]), table, MONTHS)
+    assert replace_files(loaded([6, 7], "june", 2.0), table) == 5
+    stored = sorted((r.pickup_month, r[SOURCE_FILE], r.tips) for r in read_table(spark, table).collect())
+    assert stored == [(5, "may", 1.0)] * 3 + [(6, "june", 2.0), (7, "june", 2.0)]
+
+
+def test_rows_without_a_month_are_replaced_too(spark, database):
+    table = f"{database}.t"
+    none = {"pickup_year": F.lit(None).cast("int"), "pickup_month": F.lit(None).cast("int")}
+    write_table(trips(spark, [1]).unionByName(trips(spark, [1, 1]).withColumns(none)), table, MONTHS)
+    assert overwrite_months(trips(spark, [1]).withColumns(none), table, [(None, None)]) == 1
+    assert read_table(spark, table).count() == 2
+    overwrite_months(trips(spark, [1]).limit(0), table, [(None, None)])
+    assert read_table(spark, table).count() == 1
+
+
+def test_a_failed_pass_leaves_the_old_tables(spark, database):
+    rows = with_partition_columns(frame(spark, "fhvhv", [{}, {"trip_time": 5}]), "pickup_datetime")
+    routed = route(apply_rules(with_duration(rows, FHVHV), FHVHV.rules))
+    clean, rejected = f"{database}.f", f"{database}.f_quarantine"
+    write_split(routed, clean, rejected)
+    before = read_table(spark, clean).collect() + read_table(spark, rejected).collect()
+
+    def passes():
+        yield routed
+        yield routed
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        write_split_passes(passes(), clean, rejected)
+    assert read_table(spark, clean).collect() + read_table(spark, rejected).collect() == before
+    stored = [t.name for t in spark.catalog.listTables(database) if "_v_" in t.name]
+    assert len(stored) == 1
+    assert write_split_passes([routed, routed], clean, rejected) == 4
+    assert read_table(spark, f"{clean}_checked").count() == 4
 
 
 def test_split_is_written_once_and_read_as_two_tables(spark, database):
@@ -86,14 +150,14 @@ def test_split_is_written_once_and_read_as_two_tables(spark, database):
     checked = apply_rules(with_duration(rows, FHVHV), FHVHV.rules)
     clean, rejected = f"{database}.fhvhv", f"{database}.fhvhv_quarantine"
     for _ in range(2):  # a refresh replaces both
-        assert write_split(route(checked), clean, rejected, "pickup_datetime") == 4
+        assert write_split(route(checked), clean, rejected) == 4
         assert read_table(spark, clean).count() == 2
         assert read_table(spark, rejected).count() == 2
     assert read_table(spark, clean).columns == checked.columns
     assert read_table(spark, rejected).columns == checked.columns
     again = read_table(spark, clean).unionByName(read_table(spark, rejected))
     assert again.exceptAll(checked).isEmpty() and checked.exceptAll(again).isEmpty()
-    assert write_split(route(checked, "drop"), clean, rejected, "pickup_datetime") == 3
+    assert write_split(route(checked, "drop"), clean, rejected) == 3
 
 
 def test_month_filter_prunes_clean_partitions(spark, database):
@@ -102,7 +166,7 @@ def test_month_filter_prunes_clean_partitions(spark, database):
         "pickup_datetime",
     )
     checked = apply_rules(with_duration(rows, FHVHV), FHVHV.rules)
-    write_split(route(checked), f"{database}.a", f"{database}.b", "pickup_datetime")
+    write_split(route(checked), f"{database}.a", f"{database}.b")
     may = read_table(spark, f"{database}.a").where("pickup_month = 5")
     plan = may._jdf.queryExecution().executedPlan().toString()
     filters = plan[plan.index("PartitionFilters"):].split("]")[0]

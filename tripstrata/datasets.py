@@ -96,6 +96,7 @@ FHV = DatasetSpec(
     pickup_zone=named("pulocationid"),
     dropoff_zone=named("dolocationid"),
     keys=("PULocationID", "DOLocationID", "dispatching_base_num"),
+    may_lack_columns=True,
     duration=Duration("duration_sec", "sec"),
     rules=(
         Rule.between("location", _ZONES, *ZONE_BOUNDS, optional=True),

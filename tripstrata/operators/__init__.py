@@ -25,7 +25,7 @@ from tripstrata.operators.reports import (
     total_trips,
     trips_by_type,
 )
-from tripstrata.operators.unify import narrow, unify_trips
+from tripstrata.operators.unify import incomplete_sources, narrow, unify_trips
 
 __all__ = [
     "apply_rules",
@@ -41,6 +41,7 @@ __all__ = [
     "duration_summary",
     "expected_months",
     "filter_types",
+    "incomplete_sources",
     "label_zones",
     "latest_month",
     "loaded_months",

@@ -20,10 +20,11 @@ def monthly_counts(df: DataFrame) -> DataFrame:
 
 
 def trips_by_type(trips: DataFrame) -> DataFrame:
+    """Trips per type, largest first, from trips or from a summary that has a ``trip_count``."""
+    summed = "trip_count" in trips.columns
+    count = F.sum("trip_count") if summed else F.count(F.lit(1))
     return (
-        trips.groupBy(LABEL)
-        .agg(F.count(F.lit(1)).alias("trip_count"))
-        .orderBy(F.desc("trip_count"), LABEL)
+        trips.groupBy(LABEL).agg(count.alias("trip_count")).orderBy(F.desc("trip_count"), LABEL)
     )
 
 
@@ -41,11 +42,12 @@ def demand_by_hour(demand: DataFrame) -> DataFrame:
 
 
 def demand_by_hour_type(demand: DataFrame) -> DataFrame:
-    return (
-        demand.groupBy("pickup_hour", LABEL)
-        .agg(F.sum("trip_count").alias("trip_count"))
-        .orderBy("pickup_hour", LABEL)
-    )
+    return by_hour_type(demand, "trip_count", "trip_count").orderBy("pickup_hour", LABEL)
+
+
+def by_hour_type(summary: DataFrame, value: str, name: str) -> DataFrame:
+    """Sums per hour and type in no order, to be pivoted or sorted."""
+    return summary.groupBy("pickup_hour", LABEL).agg(F.sum(col(value)).alias(name))
 
 
 def demand_by_zone(demand: DataFrame) -> DataFrame:
@@ -67,11 +69,7 @@ def revenue_by_type(revenue: DataFrame) -> DataFrame:
 
 
 def revenue_by_hour_type(revenue: DataFrame) -> DataFrame:
-    return (
-        revenue.groupBy("pickup_hour", LABEL)
-        .agg(F.sum("total_revenue").alias("revenue"))
-        .orderBy("pickup_hour", LABEL)
-    )
+    return by_hour_type(revenue, "total_revenue", "revenue").orderBy("pickup_hour", LABEL)
 
 
 def duration_summary(stats: DataFrame) -> DataFrame:

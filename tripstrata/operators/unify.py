@@ -42,34 +42,52 @@ def narrow(
     return df.select(F.lit(label).alias(LABEL), *columns)
 
 
+def stack_mapping(df: DataFrame, spec: DatasetSpec) -> dict[str, str | None]:
+    """Target column -> column of the source, None where there is none."""
+    return {
+        "pickup_datetime": match_column(df, spec.pickup),
+        "dropoff_datetime": match_column(df, spec.dropoff),
+        "PULocationID": match_column(df, spec.pickup_zone),
+        "DOLocationID": match_column(df, spec.dropoff_zone),
+        "pickup_year": "pickup_year",
+        "pickup_month": "pickup_month",
+    }
+
+
+def incomplete_sources(
+    sources: Mapping[str, DataFrame], specs: Mapping[str, DatasetSpec]
+) -> dict[str, list[str]]:
+    """The sources that cannot be stacked, with the columns they lack."""
+    lacking = {
+        label: [target for target, found in stack_mapping(df, specs[label]).items() if found is None]
+        for label, df in sources.items()
+    }
+    return {label: missing for label, missing in lacking.items() if missing}
+
+
 def unify_trips(
     sources: Mapping[str, DataFrame],
     specs: Mapping[str, DatasetSpec],
-    on_missing: str = "skip",
+    on_missing: str = "spec",
 ) -> DataFrame:
     """Stack the common columns of all sources, keeping duplicates.
 
-    A source that lacks a time or location column is left out, or is an error with
-    ``on_missing="raise"``.
+    A source that lacks a time or location column is an error, unless its spec says it may lack
+    columns; then it is left out (``incomplete_sources`` names it). ``on_missing="raise"`` makes it an
+    error for all, ``"skip"`` for none.
     """
-    if on_missing not in ("skip", "raise"):
-        raise ValueError("on_missing must be 'skip' or 'raise'")
-    frames = []
-    for label, df in sources.items():
-        spec = specs[label]
-        mapping = {
-            "pickup_datetime": match_column(df, spec.pickup),
-            "dropoff_datetime": match_column(df, spec.dropoff),
-            "PULocationID": match_column(df, spec.pickup_zone),
-            "DOLocationID": match_column(df, spec.dropoff_zone),
-            "pickup_year": "pickup_year",
-            "pickup_month": "pickup_month",
-        }
-        missing = [target for target, source in mapping.items() if source is None]
-        if not missing:
-            frames.append(narrow(df, label, mapping, UNIFIED_TYPES))
-        elif on_missing == "raise":
-            raise ValueError(f"{label} has no column for {missing}; columns are {df.columns}")
+    if on_missing not in ("spec", "skip", "raise"):
+        raise ValueError("on_missing must be 'spec', 'skip' or 'raise'")
+    lacking = incomplete_sources(sources, specs)
+    for label, missing in lacking.items():
+        if on_missing == "raise" or on_missing == "spec" and not specs[label].may_lack_columns:
+            columns = sources[label].columns
+            raise ValueError(f"{label} has no column for {missing}; columns are {columns}")
+    frames = [
+        narrow(df, label, stack_mapping(df, specs[label]), UNIFIED_TYPES)
+        for label, df in sources.items()
+        if label not in lacking
+    ]
     if not frames:
         raise ValueError("no source has the columns to unify")
     return reduce(DataFrame.unionByName, frames)

@@ -1,12 +1,19 @@
 from tripstrata.plans.bronze import bronze_frame, load_bronze
 from tripstrata.plans.dashboard import dashboard
-from tripstrata.plans.gold import build_demand, build_durations, build_revenue, build_unified
-from tripstrata.plans.pipeline import Layers, PipelineCounts, run_pipeline
+from tripstrata.plans.gold import (
+    build_demand,
+    build_durations,
+    build_revenue,
+    build_unified,
+    replace_unified_months,
+)
+from tripstrata.plans.pipeline import Layers, PipelineCounts, refresh_months, run_pipeline
 from tripstrata.plans.silver import (
     SilverCounts,
     build_silver,
     checked_frame,
     dedup_keys,
+    rebuild_months,
     silver_report,
     with_duration,
 )
@@ -25,6 +32,9 @@ __all__ = [
     "dashboard",
     "dedup_keys",
     "load_bronze",
+    "rebuild_months",
+    "refresh_months",
+    "replace_unified_months",
     "run_pipeline",
     "silver_report",
     "with_duration",

@@ -29,14 +29,16 @@ def load_bronze(
     spec: DatasetSpec,
     table: str,
     drifting: bool = False,
+    layout: str = "as_is",
 ) -> int:
     """Load one dataset and return the rows written. No shuffle: each task writes the months of
     the files it read.
 
     With ``drifting``, ``source`` lists files or folders whose column types may differ.
+    ``layout="rebalance"`` shuffles by month, where files hold many stray months.
     """
     if drifting:
         raw = read_drifting(spark, [source] if isinstance(source, str) else source, spec)
     else:
         raw = read_dataset(spark, source, spec)
-    return write_table(bronze_frame(raw, spec), table, partition_by=MONTH_COLUMNS)
+    return write_table(bronze_frame(raw, spec), table, partition_by=MONTH_COLUMNS, layout=layout)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
 from tripstrata.operators.marts import demand_patterns, duration_stats, revenue
 from tripstrata.operators.unify import unify_trips
 from tripstrata.plans.bronze import MONTH_COLUMNS
-from tripstrata.sources.tables import read_table, write_table
+from tripstrata.sources.tables import in_months, overwrite_months, read_table, write_table
 from tripstrata.spec import DatasetSpec
 
 UNIFIED = "trips_unified"
@@ -31,6 +31,21 @@ def build_unified(
     return write_table(trips, f"{gold_db}.{UNIFIED}", partition_by=MONTH_COLUMNS, layout=layout)
 
 
+def replace_unified_months(
+    spark: SparkSession,
+    silver: Mapping[str, str],
+    specs: Mapping[str, DatasetSpec],
+    gold_db: str,
+    months: Iterable[tuple[int | None, int | None]],
+) -> int:
+    """Stack only the given months of the clean tables and replace them; others are not read."""
+    months = list(months)
+    sources = {
+        label: read_table(spark, name).where(in_months(months)) for label, name in silver.items()
+    }
+    return overwrite_months(unify_trips(sources, specs), f"{gold_db}.{UNIFIED}", months)
+
+
 def build_demand(spark: SparkSession, gold_db: str) -> int:
     trips = read_table(spark, f"{gold_db}.{UNIFIED}")
     return write_table(demand_patterns(trips), f"{gold_db}.{DEMAND}")

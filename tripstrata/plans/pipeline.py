@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tripstrata.datasets import ALL
+from tripstrata.operators.unify import incomplete_sources
 from tripstrata.plans.bronze import load_bronze
 from tripstrata.plans.gold import (
     DEMAND,
@@ -19,9 +20,10 @@ from tripstrata.plans.gold import (
     build_durations,
     build_revenue,
     build_unified,
+    replace_unified_months,
 )
-from tripstrata.plans.silver import SilverCounts, build_silver
-from tripstrata.sources.tables import ensure_layers
+from tripstrata.plans.silver import SilverCounts, build_silver, dedup_keys, rebuild_months
+from tripstrata.sources.tables import ensure_layers, read_table
 from tripstrata.spec import DatasetSpec
 
 
@@ -54,6 +56,10 @@ class PipelineCounts:
     bronze: Mapping[str, int]
     silver: Mapping[str, SilverCounts]
     gold: Mapping[str, int]
+    keys: Mapping[str, tuple[str, ...]]
+    """The columns that identify a trip of each source."""
+    skipped: Mapping[str, list[str]]
+    """Sources that are not in the stacked trips, with the columns they lack."""
 
 
 def run_pipeline(
@@ -64,13 +70,18 @@ def run_pipeline(
     drifting: Iterable[str] = (),
     null_policy: str = "quarantine",
     parallel: int = 4,
+    rows_per_pass: int | None = None,
+    layout: str = "as_is",
+    accuracy: int | None = None,
 ) -> PipelineCounts:
     """Full refresh of every layer. ``sources`` maps labels to raw folders, ``drifting`` names
     those whose folders or files are given one by one because their types differ.
 
     The sources do not depend on each other up to their clean tables, so up to ``parallel`` of them
     are worked on at a time and the last tasks of one leave no cores idle. Revenue needs only the
-    clean tables, demand and durations the stacked trips.
+    clean tables, demand and durations the stacked trips. ``rows_per_pass`` bounds the shuffle of a
+    clean table, ``layout`` is that of the raw and the stacked table (see ``write_table``), and
+    ``accuracy`` makes percentiles approximate.
     """
     by_label = {spec.label: spec for spec in specs if spec.label in sources}
     unknown = set(sources) - set(by_label)
@@ -81,9 +92,15 @@ def run_pipeline(
 
     def to_clean(label: str) -> tuple[int, SilverCounts]:
         spec, table = by_label[label], f"{layers.bronze}.{label}"
-        loaded = load_bronze(spark, sources[label], spec, table, label in drifting)
+        loaded = load_bronze(spark, sources[label], spec, table, label in drifting, layout)
         return loaded, build_silver(
-            spark, table, spec, layers.clean(label), layers.quarantine(label), null_policy
+            spark,
+            table,
+            spec,
+            layers.clean(label),
+            layers.quarantine(label),
+            null_policy,
+            rows_per_pass,
         )
 
     clean = {label: layers.clean(label) for label in by_label}
@@ -92,12 +109,49 @@ def run_pipeline(
         pending = {}
         if any(spec.money for spec in by_label.values()):
             pending[REVENUE] = pool.submit(build_revenue, spark, clean, by_label, layers.gold)
-        gold = {UNIFIED: build_unified(spark, clean, by_label, layers.gold)}
+        gold = {UNIFIED: build_unified(spark, clean, by_label, layers.gold, layout)}
         pending[DEMAND] = pool.submit(build_demand, spark, layers.gold)
-        pending[DURATION] = pool.submit(build_durations, spark, layers.gold)
+        pending[DURATION] = pool.submit(build_durations, spark, layers.gold, accuracy)
         gold |= {name: future.result() for name, future in pending.items()}
     return PipelineCounts(
         bronze={label: loaded for label, (loaded, _) in built.items()},
         silver={label: counts for label, (_, counts) in built.items()},
         gold=gold,
+        keys={
+            label: tuple(dedup_keys(read_table(spark, f"{layers.bronze}.{label}"), spec))
+            for label, spec in by_label.items()
+        },
+        skipped=incomplete_sources(
+            {label: read_table(spark, name) for label, name in clean.items()}, by_label
+        ),
     )
+
+
+def refresh_months(
+    spark: SparkSession,
+    layers: Layers,
+    months: Iterable[tuple[int | None, int | None]],
+    specs: Iterable[DatasetSpec] = ALL,
+    null_policy: str = "quarantine",
+    accuracy: int | None = None,
+) -> None:
+    """Bring clean, stacked and summary tables up to date after raw rows of some months changed.
+
+    Only those months are deduplicated, checked and stacked again. The summaries have no month, so
+    they are made anew, from the narrow stacked trips and the fares of the clean tables.
+    """
+    months = list(months)
+    by_label = {
+        spec.label: spec
+        for spec in specs
+        if spark.catalog.tableExists(f"{layers.bronze}.{spec.label}")
+    }
+    for label, spec in by_label.items():
+        table = f"{layers.bronze}.{label}"
+        rebuild_months(spark, table, spec, layers.clean(label), months, null_policy)
+    clean = {label: layers.clean(label) for label in by_label}
+    replace_unified_months(spark, clean, by_label, layers.gold, months)
+    if any(spec.money for spec in by_label.values()):
+        build_revenue(spark, clean, by_label, layers.gold)
+    build_demand(spark, layers.gold)
+    build_durations(spark, layers.gold, accuracy)

@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tripstrata.functions.columns import available_keys, col, match_column, require_column
+from tripstrata.functions.columns import available_keys, col, find_column, match_column, require_column
 from tripstrata.functions.times import minutes_between, seconds_between
 from tripstrata.operators.dedup import dedup_first
 from tripstrata.operators.quality import apply_rules, route, rule_report
 from tripstrata.operators.reports import monthly_counts
 from tripstrata.plans.bronze import MONTH_COLUMNS
-from tripstrata.sources.tables import read_table, write_split
+from tripstrata.sources.tables import in_months, read_table, replace_split_months, write_split_passes
 from tripstrata.spec import DatasetSpec
 
-# A shuffle of this many trips is a few terabytes, which one job handles well.
-ROWS_PER_PASS = 20_000_000_000
-
 
 @dataclass(frozen=True)
 class SilverCounts:
@@ -36,10 +32,16 @@ def dedup_keys(df: DataFrame, spec: DatasetSpec) -> list[str]:
     """Pickup and dropoff time, then the other identity columns, as far as they exist.
 
     The pickup time leads because it separates the most rows; the sorts before and after the
-    shuffle compare by the first key first.
+    shuffle compare by the first key first. Only a spec with ``may_lack_columns`` may go without one;
+    for any other, fewer keys would make different trips equal.
     """
-    times = (match_column(df, spec.pickup), match_column(df, spec.dropoff))
-    return [name for name in times if name] + available_keys(df, spec.keys)
+    times = {"pickup time": match_column(df, spec.pickup), "dropoff time": match_column(df, spec.dropoff)}
+    keys = available_keys(df, spec.keys)
+    missing = [name for name, found in times.items() if found is None]
+    missing += [name for name in spec.keys if find_column(df, equals_ci=name) is None]
+    if missing and not spec.may_lack_columns:
+        raise ValueError(f"{spec.label} has no column for {missing}; columns are {df.columns}")
+    return [name for name in times.values() if name] + keys
 
 
 def with_duration(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -64,30 +66,24 @@ def build_silver(
     clean: str,
     quarantine: str,
     null_policy: str = "quarantine",
-    rows_per_pass: int = ROWS_PER_PASS,
+    rows_per_pass: int | None = None,
 ) -> SilverCounts:
     """Write the clean and quarantined trips of one dataset.
 
     The only shuffle is that of the deduplication. Duplicates share their pickup time and with it
-    their month, so a table too large for one shuffle is worked off in passes over whole months,
-    each of at most ``rows_per_pass`` rows unless a single month has more. A pass reads only its
-    own partitions. All counts come from parquet footers.
+    their month, so the work can be cut into passes over whole months, each of at most
+    ``rows_per_pass`` rows unless a single month has more. A pass reads only its own partitions.
+    Readers see the new tables when all passes are stored, however many there are. All counts come
+    from parquet footers.
     """
     bronze = read_table(spark, bronze_table)
-    pickup = require_column(bronze, spec.pickup, "pickup datetime")
     months = [tuple(row) for row in monthly_counts(bronze).collect()]
-    written = 0
-    for number, part in enumerate(month_passes(months, rows_per_pass)):
-        rows = bronze if len(part) == len(months) else bronze.where(_in_months(part))
-        written += write_split(
-            route(checked_frame(rows, spec), null_policy),
-            clean,
-            quarantine,
-            pickup=pickup,
-            partition_by=MONTH_COLUMNS,
-            append=number > 0,
-        )
     bronze_rows = sum(rows for _, _, rows in months)
+    parts = month_passes(months, rows_per_pass or max(1, bronze_rows))
+    passes = (
+        route(checked_frame(bronze.where(in_months(part)), spec), null_policy) for part in parts
+    )
+    written = write_split_passes(passes, clean, quarantine, MONTH_COLUMNS)
     clean_rows = read_table(spark, clean).count()
     return SilverCounts(
         bronze_rows=bronze_rows,
@@ -97,6 +93,23 @@ def build_silver(
     )
 
 
+def rebuild_months(
+    spark: SparkSession,
+    bronze_table: str,
+    spec: DatasetSpec,
+    clean: str,
+    months: Iterable[tuple[int | None, int | None]],
+    null_policy: str = "quarantine",
+) -> int:
+    """Deduplicate and check only the given months again and replace them on both sides.
+
+    The key holds the pickup time, so no duplicate is in another month. Returns the rows written.
+    """
+    months = list(months)
+    bronze = read_table(spark, bronze_table).where(in_months(months))
+    return replace_split_months(route(checked_frame(bronze, spec), null_policy), clean, months)
+
+
 def month_passes(
     months: list[tuple[int | None, int | None, int]], rows_per_pass: int
 ) -> list[list[tuple[int | None, int | None]]]:
@@ -112,17 +125,6 @@ def month_passes(
     return passes
 
 
-def _in_months(months: list[tuple[int | None, int | None]]) -> Column:
-    """A filter on the partition columns alone, also for rows without a pickup time."""
-    return reduce(
-        or_,
-        [
-            col(MONTH_COLUMNS[0]).eqNullSafe(year) & col(MONTH_COLUMNS[1]).eqNullSafe(month)
-            for year, month in months
-        ],
-    )
-
-
 def silver_report(spark: SparkSession, clean: str, spec: DatasetSpec) -> DataFrame:
     """Failures per rule over both halves of a split, read from the stored flag columns only."""
     return rule_report(read_table(spark, f"{clean}_checked"), spec.rules)

@@ -8,26 +8,34 @@ from tripstrata.sources.scan import (
 )
 from tripstrata.sources.tables import (
     ensure_layers,
+    in_months,
     overwrite_months,
     read_table,
+    replace_files,
+    replace_split_months,
     run_query,
     write_split,
+    write_split_passes,
     write_table,
 )
 
 __all__ = [
     "ensure_layers",
+    "in_months",
     "new_files",
     "overwrite_months",
     "read_dataset",
     "read_drifting",
     "read_new_files",
     "read_table",
+    "replace_files",
+    "replace_split_months",
     "run_query",
     "source_files",
     "with_ingest_metadata",
     "with_partition_columns",
     "with_source_file",
     "write_split",
+    "write_split_passes",
     "write_table",
 ]

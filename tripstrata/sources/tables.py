@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+import threading
+import uuid
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.functions.columns import col
-from tripstrata.names import CLEAN, QUARANTINE, ROUTE
+from tripstrata.names import CLEAN, QUARANTINE, ROUTE, SOURCE_FILE
+from tripstrata.session import scratch_dir
 
+# Property of the views of a split: the table that holds their rows.
+VERSION = "tripstrata.version"
+_MODE_LOCK = threading.RLock()
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 # Table property of tables that a stream appends to. Spark reads those through the log of the stream
 # and would not see files that another writer adds, nor show what was there before.
@@ -67,55 +75,145 @@ def write_split(
     routed: DataFrame,
     clean: str,
     quarantine: str,
-    pickup: str,
     partition_by: tuple[str, str] = ("pickup_year", "pickup_month"),
-    append: bool = False,
 ) -> int:
-    """Write the two sides of a routed frame in one job and return the rows written.
+    """Write the two sides of a routed frame in one job and return the rows written."""
+    return write_split_passes([routed], clean, quarantine, partition_by)
+
+
+def write_split_passes(
+    passes: Iterable[DataFrame],
+    clean: str,
+    quarantine: str,
+    partition_by: tuple[str, str] = ("pickup_year", "pickup_month"),
+) -> int:
+    """Write routed frames, one after the other, as a new version of the two tables.
 
     Both sides come from the same expensive shuffle. Two separate writes would run it twice, and a
-    cached or staged copy would store all the data once more. So the frame is written once, to
-    ``<clean>_checked``, split by its route; ``clean`` and ``quarantine`` are views on the two
-    halves. Clean trips are partitioned by month and filters on those columns prune partitions.
-    Quarantined rows are few and share one partition, to avoid a tiny file per month and task;
-    their month columns are computed from the pickup time again when they are read.
+    cached or staged copy would store all the data once more. So each frame is written once, to a
+    table partitioned by its route and month. ``clean``, ``quarantine`` and ``<clean>_checked`` are
+    views on its halves and the whole, and filters on the month prune partitions of either.
 
-    ``append`` adds to what an earlier call stored instead of replacing it.
+    The views move to the new version once all of it is stored, and only then is the old one dropped.
+    Until that, and after a failure, readers see the old version in full.
     """
-    spark = routed.sparkSession
-    year, month = partition_by
-    accepted = F.col(ROUTE) == CLEAN
-    stored = f"{clean}_checked"
-    rows = _save(
-        routed.withColumns({name: F.when(accepted, col(name)) for name in partition_by}),
-        stored,
-        [ROUTE, year, month],
-        mode="append" if append else "overwrite",
-    )
-    columns = [name for name in routed.columns if name != ROUTE]
-    derived = {year: f"year(`{pickup}`)", month: f"month(`{pickup}`)"}
-    again = [f"{derived[name]} AS `{name}`" if name in derived else f"`{name}`" for name in columns]
-    as_stored = [f"`{name}`" for name in columns]
-    for view, route, items in ((clean, CLEAN, as_stored), (quarantine, QUARANTINE, again)):
+    stored = f"{clean}_v_{uuid.uuid4().hex[:12]}"
+    rows, spark, columns = 0, None, None
+    try:
+        for number, routed in enumerate(passes):
+            spark, columns = routed.sparkSession, [c for c in routed.columns if c != ROUTE]
+            mode = "append" if number else "overwrite"
+            rows += _save(routed, stored, [ROUTE, *partition_by], mode=mode)
+    except BaseException:
+        if spark is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {stored}")
+        raise
+    before = stored_version(spark, clean)
+    items = ", ".join(f"`{name}`" for name in columns)
+    for view, where in (
+        (clean, f"WHERE `{ROUTE}` = '{CLEAN}'"),
+        (quarantine, f"WHERE `{ROUTE}` = '{QUARANTINE}'"),
+        (f"{clean}_checked", ""),
+    ):
         spark.sql(
-            f"CREATE OR REPLACE VIEW {view} AS "
-            f"SELECT {', '.join(items)} FROM {stored} WHERE `{ROUTE}` = '{route}'"
+            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{VERSION}' = '{stored}') AS "
+            f"SELECT {items} FROM {stored} {where}"
         )
+    if before:
+        spark.sql(f"DROP TABLE IF EXISTS {before}")
     return rows
 
 
-def overwrite_months(df: DataFrame, name: str) -> int:
-    """Replace only the partitions that ``df`` holds rows for; other months stay as they are."""
-    spark = df.sparkSession
+def stored_version(spark: SparkSession, clean: str) -> str | None:
+    """The table behind the views of a split, if there are any."""
+    if not spark.catalog.tableExists(clean):
+        return None
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {clean}").collect()}
+    return properties.get(VERSION)
+
+
+def replace_split_months(
+    routed: DataFrame, clean: str, months: Iterable[tuple[int | None, int | None]]
+) -> int:
+    """Replace the given months on both sides of a split; all others stay as they are."""
+    stored = stored_version(routed.sparkSession, clean)
+    if stored is None:
+        raise ValueError(f"{clean} is not a view of a split")
+    return overwrite_months(routed, stored, months)
+
+
+def overwrite_months(
+    df: DataFrame,
+    name: str,
+    months: Iterable[tuple[int | None, int | None]],
+    partition_by: tuple[str, str] = ("pickup_year", "pickup_month"),
+) -> int:
+    """Replace the given (year, month) partitions by the rows of ``df`` and return their number.
+
+    A row of ``df`` in any other month is an error, found before anything is written: monthly files
+    hold stray rows, and a month must not be replaced by a few of them. (``in_months`` selects rows;
+    ``replace_files`` loads a file again with its strays.) A month without a row in ``df`` is emptied.
+    The rows are stored aside first, so ``df`` may read the table itself.
+    """
+    spark, months = df.sparkSession, list(dict.fromkeys(months))
     if is_streamed(spark, name):
         raise ValueError(f"{name} is appended to by a stream; rows of other writers would not show")
+    keys = partition_columns(spark, name)
     ordered = df.select(*[col(column) for column in spark.table(name).columns])
-    counted, written = _counted(ordered)
+    path = scratch_dir(spark, "months")
+    ordered.write.partitionBy(*keys).parquet(path)
+    staged = spark.read.schema(ordered.schema).parquet(path)
+    found = {tuple(row) for row in staged.select(*keys).distinct().collect()}
+    at = [keys.index(column) for column in partition_by]
+    stray = sorted({tuple(row[i] for i in at) for row in found} - set(months), key=str)
+    if stray:
+        raise ValueError(f"rows of months that are not to be replaced: {stray}")
+    counted, written = _counted(staged.select(*ordered.columns))
+    old = spark.table(name).where(in_months(months, partition_by)).select(*keys).distinct().collect()
     with _overwriting(spark, "dynamic"):
         counted.write.insertInto(name, overwrite=True)
+    for row in old:
+        if tuple(row) not in found:
+            _drop_partition(spark, name, keys, row)
     return written.get["rows"]
 
 
+def replace_files(df: DataFrame, name: str, source_file: str = SOURCE_FILE) -> int:
+    """Replace all rows of the files that ``df`` came from, in whatever months they are.
+
+    Only the months that the files have or had rows in are rewritten, with their rows of other files.
+    """
+    spark = df.sparkSession
+    keys = partition_columns(spark, name)
+    table = spark.table(name)
+    files = df.select(source_file).distinct()
+    touched = table.join(files, source_file, "left_semi").select(*keys)
+    months = [tuple(r) for r in touched.unionByName(df.select(*keys)).distinct().collect()]
+    kept = table.where(in_months(months, keys)).join(files, source_file, "left_anti")
+    return overwrite_months(kept.unionByName(df.select(*table.columns)), name, months, tuple(keys))
+
+
+def in_months(
+    months: Iterable[tuple[int | None, int | None]],
+    columns: Sequence[str] = ("pickup_year", "pickup_month"),
+) -> Column:
+    """A filter on the partition columns alone, also for rows without a pickup time."""
+    tests = [
+        reduce(and_, [col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, month, strict=True)])
+        for month in months
+    ]
+    return reduce(or_, tests, F.lit(False)) if tests else F.lit(False)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _drop_partition(spark: SparkSession, name: str, keys: list[str], row) -> None:
+    items = ", ".join(f"`{k}` = null" if row[k] is None else f"`{k}` = '{row[k]}'" for k in keys)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({items})")
+
+
 def is_streamed(spark: SparkSession, name: str) -> bool:
     properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
     return any(row.key == STREAMED for row in properties)
@@ -156,14 +254,15 @@ def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
     """Fix whether an overwrite replaces all partitions or only those it writes.
 
     Spark takes this from the session. As a write option it would be stored with the table and
-    decide later writes too. Do not run two such writes of one session at the same time.
+    decide later writes too. Threads that write so take turns.
     """
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:

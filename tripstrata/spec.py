@@ -92,8 +92,12 @@ class DatasetSpec:
     duration: Duration
     rules: tuple[Rule, ...]
     keys: tuple[str, ...]
-    """Identity columns besides pickup and dropoff time; those absent from a table are skipped."""
+    """Identity columns besides pickup and dropoff time."""
     money: MoneySpec | None = None
+    may_lack_columns: bool = False
+    """Whether tables may come without some keys, and without times or zones. Duplicates are then
+    found by the keys there are, and a table that cannot be stacked is left out and reported. For any
+    other source a missing column is an error."""
     tiebreak: tuple[str, ...] | None = None
     """Order among duplicates with equal ingest time; ``None`` means all remaining columns."""
 
