@@ -267,6 +267,23 @@ def _score_batch(key, doc_id, n_tokens, n_known, base, score, h, cls, n) -> pa.R
     return pa.RecordBatch.from_arrays(columns, names=_SCORES)
 
 
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The words whose count is in the highest bands that together hold at most ``FREQUENT`` words.
+
+    Bands are 16 to a doubling, so a few hundred rows tell where to stop, and no task sends more
+    than its share of what is kept.
+    """
+    band = F.floor(F.log2("c") * 16)
+    sizes = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).collect()
+    held, least = 0, None
+    for row in sorted(sizes, reverse=True):
+        held += row["n"]
+        if held > FREQUENT:
+            break
+        least = row["band"]
+    return counts.where(band >= least) if least is not None else counts.limit(0)
+
+
 def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, log10_perplexity``."""
     spark = docs.sparkSession
@@ -283,7 +300,7 @@ def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         "word_counts",
     )
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
+    frequent = _frequent(counts).toPandas().sort_values(["c", "h"], ascending=[False, True])
     hashes = frequent["h"].to_numpy(np.int64).view(U64)
     in_core = np.flatnonzero(hashes != END)[:CORE]
     core = Lexicon(hashes[in_core])
