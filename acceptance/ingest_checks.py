@@ -48,42 +48,42 @@ def _database(spark) -> str:
     return name
 
 
-@check("SELECT event_id, user_id, ts, event_type, value FROM events")
+@check("SELECT event_id, user_id, ts, event_type, value, props FROM events")
 def scan_explicit_schema(spark, sf_dir):
     schema = "event_id bigint, USER_ID bigint, ts timestamp_ntz, event_type string, value double"
+    schema += ", props string"
     return read_dataset(spark, f"{sf_dir}/events.parquet", schema).withColumnRenamed(
         "USER_ID", "user_id"
     )
 
 
 @check("""
-    SELECT event_id, ts, event_type,
+    SELECT event_id, ts, event_type, user_id, props,
       CASE WHEN event_type IN ('click', 'view') THEN value END AS value
     FROM events
 """)
 def scan_merge_schema(spark, sf_dir):
     folder = scratch_dir(spark, "merge")
-    events = fx.table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    columns = ["event_id", "ts", "event_type", "user_id", "props", "value"]
+    events = fx.table(spark, sf_dir, "events").select(*columns)
     wide = F.col("event_type").isin("click", "view")
     events.where(wide).write.parquet(f"{folder}/1")
     events.where(~wide).drop("value").write.parquet(f"{folder}/2")
     merged = read_dataset(spark, [f"{folder}/1", f"{folder}/2"])
-    return merged.select("event_id", "ts", "event_type", "value")
+    return merged.select(*columns)
 
 
 @check("SELECT l_orderkey, l_linenumber, l_quantity, 'lineitem' AS source FROM lineitem")
 def drifting_types(spark, sf_dir):
-    """The same columns as bigint, double and int, read as one."""
+    """The same columns as bigint, double and int, in files of one folder, read as one."""
     folder = scratch_dir(spark, "drift")
     lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    written = []
     for flag, wanted in (("A", "bigint"), ("N", "double"), ("R", "int")):
-        written.append(f"{folder}/{flag}")
         part = fx.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
         part.select(
             F.col("l_orderkey").cast(wanted), F.col("l_linenumber").cast(wanted), "l_quantity"
-        ).write.parquet(written[-1])
-    return read_drifting(spark, written, lines.schema).select(
+        ).write.mode("append").parquet(folder)
+    return read_drifting(spark, [folder], lines.schema).select(
         "l_orderkey", "l_linenumber", "l_quantity", F.lit("lineitem").alias("source")
     )
 
@@ -212,9 +212,14 @@ def run_sql_text(spark, sf_dir):
     )
 
 
-@check("SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count FROM orders")
+@check("""
+    SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count,
+      'struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,'
+      || 'o_orderdate:timestamp_ntz,o_orderpriority:string>' AS schema
+    FROM orders
+""")
 def profile_rows(spark, sf_dir):
-    return profile(fx.table(spark, sf_dir, "orders")).select("row_count", "column_count")
+    return profile(fx.table(spark, sf_dir, "orders"))
 
 
 @check("""

@@ -28,6 +28,7 @@ from tripstrata.operators import (
     incomplete_sources,
     unify_trips,
 )
+from tripstrata.operators.marts import _exact_stats
 from tripstrata.sources import with_partition_columns
 
 SPECS = {spec.label: spec for spec in ALL}
@@ -233,3 +234,18 @@ def test_stacking_keeps_duplicates(spark):
     parts = [unify_trips({label: df}, SPECS) for label, df in sources.items()]
     assert reduce(DataFrame.unionByName, parts).exceptAll(trips).isEmpty()
     assert FHV.money is None
+
+
+def test_durations_over_ten_years(spark):
+    """Percentiles are exact without a window over all durations of a type."""
+    seconds = [k * 7919 % 315_360_000 for k in range(0, 40_000, 7)] + [-5, -4000]
+    histogram = spark.createDataFrame([("yellow", s, 1 + s % 3) for s in seconds] + [("green", None, 2)],
+                                      "trip_type string, seconds long, trips long")
+    stats = _exact_stats(histogram)
+    assert "Window" not in stats._jdf.queryExecution().executedPlan().toString()
+    found = {r.trip_type: r for r in stats.collect()}
+    every = sorted(s for s in seconds for _ in range(1 + s % 3))
+    for name, share in (("median_duration_min", 0.5), ("p90_duration_min", 0.9)):
+        expected = every[-(-int(share * 10) * len(every) // 10) - 1]
+        assert found["yellow"][name] == pytest.approx(round(expected / 60, 2))
+    assert found["green"].trip_count == 2 and found["green"].median_duration_min is None

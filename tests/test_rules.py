@@ -161,3 +161,10 @@ def test_wall_clock_times_do_not_move_with_the_session_zone(spark):
         assert (row.h, row.trip_duration_min) == (1, 30.0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_nan_is_large_or_unknown(spark):
+    rows = frame(spark, "fhvhv", [{"base_passenger_fare": float("nan")}])
+    checked = with_duration(rows, FHVHV)
+    assert apply_rules(checked, FHVHV.rules).first().is_valid_fare is True
+    assert apply_rules(checked, FHVHV.rules, nan_is_unknown=True).first().is_valid_fare is None

@@ -103,6 +103,22 @@ def test_drifting_nan_becomes_null(spark, folder):
     assert sorted((row.n for row in stacked.collect()), key=str) == [4, None]
 
 
+def test_a_folder_of_mixed_files(spark, folder):
+    for kind in ("int", "double", "bigint", "int"):
+        spark.range(3).select(F.col("id").cast(kind).alias("n")).write.mode("append").parquet(f"{folder}/m")
+    for schema in (None, "n bigint"):
+        assert sorted(int(r.n) for r in read_drifting(spark, [f"{folder}/m"], schema).collect()) == sorted(
+            [0, 1, 2] * 4
+        )
+
+
+def test_a_fraction_is_not_cut_off(spark, folder):
+    spark.sql("SELECT 1.5D AS n").write.parquet(f"{folder}/1")
+    spark.sql("SELECT 2L AS n").write.parquet(f"{folder}/2")
+    with pytest.raises(Exception, match="not an integer: 1.5"):
+        read_drifting(spark, [f"{folder}/1", f"{folder}/2"], "n bigint").collect()
+
+
 def test_drifting_text_and_number_need_a_schema(spark, folder):
     spark.sql("SELECT 'a' AS n").write.parquet(f"{folder}/1")
     spark.sql("SELECT 4L AS n").write.parquet(f"{folder}/2")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.functions.columns import col, require_column
@@ -78,9 +78,8 @@ def revenue(
 def duration_stats(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Count, mean, median, 90th percentile, minimum and maximum trip minutes per type.
 
-    By default trips are first counted per type and whole second. That table has at most one row
-    per possible duration, 10,741 per type for clean trips (for unchecked ones, one per second of
-    the time the data spans), however many trips there are, and gives exact percentiles. With
+    By default trips are first counted per type and whole second, which gives exact percentiles (see
+    ``_exact_stats``) from a table that does not grow with the number of trips. With
     ``accuracy``, ``percentile_approx`` runs over the trips instead; every map task then sends up
     to ``accuracy`` samples per type to one reducer.
     """
@@ -95,34 +94,73 @@ def duration_histogram(trips: DataFrame) -> DataFrame:
 
 
 def _exact_stats(histogram: DataFrame) -> DataFrame:
-    by_type = Window.partitionBy(LABEL)
-    known = F.when(F.col("seconds").isNotNull(), F.col("trips")).otherwise(0)
-    ranked = histogram.withColumn("known", known).withColumns(
-        {
-            "upto": F.sum("known").over(
-                by_type.orderBy(F.col("seconds").asc_nulls_first()).rowsBetween(
-                    Window.unboundedPreceding, Window.currentRow
-                )
-            ),
-            "all_known": F.sum("known").over(by_type),
-        }
+    """All statistics from the counts per second; percentiles in two steps.
+
+    Counts per hour tell which hour holds each percentile and its rank in there; then only the seconds
+    of that hour are ranked. So what comes together in one place is a row per hour that the durations
+    span, and a row per second of one hour, also where junk dates give durations of years.
+    """
+    known = histogram.where("seconds IS NOT NULL").withColumn(
+        "hour", F.floor(F.col("seconds") / F.lit(3600)).cast("long")
+    )
+    hours = known.groupBy(LABEL, "hour").agg(F.sum("trips").alias("n"))
+    by_type = hours.groupBy(LABEL).agg(_counts("hour", "n"), F.sum("n").alias("known"))
+    ranks = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.greatest(F.ceil(F.lit(share) * F.col("known")), F.lit(1)).cast("long").alias("rank"),
+        )
+        for name, share in PERCENTILES.items()
+    ]
+    wanted = (
+        by_type.select(LABEL, "counts", F.explode(F.array(*ranks)).alias("p"))
+        .select(LABEL, "p.name", "p.rank", _locate(F.col("counts"), F.col("p.rank")).alias("at"))
+        .select(LABEL, "name", F.col("at.value").alias("hour"), (F.col("rank") - F.col("at.before")).alias("rank"))
     )
-    mean = F.sum(F.col("seconds") * F.col("known")) / F.sum("known")
-    return ranked.groupBy(LABEL).agg(
+    picked = (
+        known.join(wanted, [LABEL, "hour"])
+        .groupBy(LABEL, "name", "rank")
+        .agg(_counts("seconds", "trips"))
+        .withColumn("seconds", _locate(F.col("counts"), F.col("rank"))["value"])
+        .groupBy(LABEL)
+        .agg(*[F.max(F.when(F.col("name") == name, F.col("seconds"))).alias(name) for name in PERCENTILES])
+    )
+    counted = F.when(F.col("seconds").isNotNull(), F.col("trips")).otherwise(0)
+    mean = F.sum(F.col("seconds") * counted) / F.sum(counted)
+    totals = histogram.groupBy(LABEL).agg(
         F.sum("trips").alias("trip_count"),
         _minutes(mean).alias("avg_duration_min"),
-        *[
-            _minutes(F.min(F.when(_reaches(share), F.col("seconds")))).alias(name)
-            for name, share in PERCENTILES.items()
-        ],
         _minutes(F.min("seconds")).alias("min_duration_min"),
         _minutes(F.max("seconds")).alias("max_duration_min"),
     )
+    return totals.join(picked, LABEL, "left").select(
+        LABEL,
+        "trip_count",
+        "avg_duration_min",
+        *[_minutes(F.col(name)).alias(name) for name in PERCENTILES],
+        "min_duration_min",
+        "max_duration_min",
+    )
+
+
+def _counts(value: str, n: str) -> Column:
+    pair = F.struct(F.col(value).cast("long").alias("value"), F.col(n).cast("long").alias("n"))
+    return F.sort_array(F.collect_list(pair)).alias("counts")
 
 
-def _reaches(share: Decimal) -> Column:
-    """Whether at least ``share`` of the trips are no longer than this row's."""
-    return (F.col("upto") > 0) & (F.col("upto") >= F.lit(share) * F.col("all_known"))
+def _locate(counts: Column, rank: Column) -> Column:
+    """The value that holds the rank in sorted (value, n) pairs, and how many are before it."""
+    start = F.struct(F.lit(None).cast("long").alias("value"), F.lit(0).cast("long").alias("before"))
+
+    def step(state, pair):
+        reached = state["before"] + pair["n"] >= rank
+        following = F.struct(
+            F.when(reached, pair["value"]).alias("value"),
+            F.when(reached, state["before"]).otherwise(state["before"] + pair["n"]).alias("before"),
+        )
+        return F.when(state["value"].isNotNull(), state).otherwise(following)
+
+    return F.aggregate(counts, start, step)
 
 
 def _minutes(seconds: Column) -> Column:

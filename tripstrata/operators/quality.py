@@ -17,22 +17,31 @@ from tripstrata.spec import Bound, Rule
 NULL_POLICIES = ("quarantine", "drop")
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: Sequence[Rule], nan_is_unknown: bool = False) -> DataFrame:
     """Add one flag per rule and ``is_valid_trip``, their conjunction.
 
     A flag is NULL when a checked column is NULL, and so is the verdict unless another rule fails.
+    Spark takes NaN as larger than any number, so it passes a lower bound; ``nan_is_unknown`` treats it
+    as a NULL instead.
     """
-    flagged = df.withColumns({rule.flag: rule_flag(df, rule) for rule in rules})
+    flagged = df.withColumns({rule.flag: rule_flag(df, rule, nan_is_unknown) for rule in rules})
     return flagged.withColumn(VERDICT, reduce(and_, [F.col(rule.flag) for rule in rules]))
 
 
-def rule_flag(df: DataFrame, rule: Rule) -> Column:
+def rule_flag(df: DataFrame, rule: Rule, nan_is_unknown: bool = False) -> Column:
     found = [find_column(df, equals_ci=name) for name in rule.columns]
     if None in found:
         if rule.optional:
             return F.lit(True)
         raise ValueError(f"rule {rule.name} needs {rule.columns}; columns are {df.columns}")
-    return reduce(and_, [_within(col(name), rule) for name in found])
+    values = [col(name) for name in found]
+    if nan_is_unknown:
+        kinds = dict(df.dtypes)
+        values = [
+            F.when(~F.isnan(value), value) if kinds[name] in ("double", "float") else value
+            for name, value in zip(found, values, strict=True)
+        ]
+    return reduce(and_, [_within(value, rule) for value in values])
 
 
 def _within(value: Column, rule: Rule) -> Column:

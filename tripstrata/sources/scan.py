@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -39,22 +41,60 @@ def read_dataset(spark: SparkSession, path: str | list[str], schema: Schema = No
 def read_drifting(spark: SparkSession, units: list[str], schema: Schema = None) -> DataFrame:
     """Scan files whose column types differ from month to month.
 
-    ``units`` are files or folders that each hold one type per column, normally one per published
-    month, so their number grows with the calendar and not with the data. When Spark can merge all
-    footers, this is one plain scan. Otherwise each unit is scanned under its own types, cast to
-    the target and stacked; without a declared schema the target type is the widest one seen.
+    ``units`` are files or folders. When Spark can merge all footers, this is one plain scan.
+    Otherwise the files are grouped by the schema in their footers, and each group is scanned under its
+    own types, cast to the target and stacked: one scan per schema, however many files. Without a
+    declared schema the target type is the widest one seen. A fraction that the target type cannot
+    hold is an error when it is read.
     """
     target = to_struct(schema)
     merged = _merged_scan(spark, units)
     if merged is not None:
         return with_source_file(merged) if target is None else _cast_to(with_source_file(merged), target)
-    frames = [spark.read.option("mergeSchema", "true").parquet(unit) for unit in units]
+    groups = _by_schema(spark, units)
     if target is None:
-        target = widest_schema([frame.schema for frame in frames])
-    shaped = [_cast_to(with_source_file(frame), target) for frame in frames]
+        target = widest_schema([found for found, _ in groups])
+    shaped = [
+        _cast_to(with_source_file(spark.read.schema(found).parquet(*paths)), target)
+        for found, paths in groups
+    ]
     return reduce(DataFrame.unionByName, shaped)
 
 
+def _by_schema(spark: SparkSession, units: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The units with equal schemas; a folder of mixed files is taken apart into its files."""
+
+    def schema_of(path: str) -> T.StructType | None:
+        try:
+            return spark.read.option("mergeSchema", "true").parquet(path).schema
+        except (Py4JJavaError, PySparkException) as error:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+            return None
+
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        found = list(zip(units, pool.map(schema_of, units), strict=True))
+        mixed = [path for path, schema in found if schema is None]
+        files = [name for path in mixed for name in _files(spark, path)]
+        found = [x for x in found if x[1] is not None]
+        found += list(zip(files, pool.map(schema_of, files), strict=True))
+    for path, schema in found:
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """The parquet files of a folder. Only the listing is used, no file is opened."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+    )
+    return sorted(unquote(row[0]) for row in listing.select(F.col("_metadata.file_path")).collect())
+
+
 def _merged_scan(spark: SparkSession, units: list[str]) -> DataFrame | None:
     """One scan over all units, or None when their types conflict. Spark reads the footers in
     parallel tasks and reports a conflict as an error."""
@@ -106,7 +146,13 @@ def _cast(value: Column, found: T.DataType, wanted: T.DataType) -> Column:
         return value
     if isinstance(found, (T.FloatType, T.DoubleType)) and isinstance(wanted, T.IntegralType):
         # Files written from pandas hold NaN where an integer is missing.
-        value = F.when(~F.isnan(value), value)
+        fraction = F.concat(F.lit("not an integer: "), value.cast("string"))
+        return F.when(
+            ~F.isnan(value),
+            F.when(value == F.floor(value), value.cast(wanted)).otherwise(
+                F.raise_error(fraction).cast(wanted)
+            ),
+        )
     return value.cast(wanted)
 
 
