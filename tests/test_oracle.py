@@ -35,7 +35,7 @@ def sorted_rows(names, rows):
     return sorted(table, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query_matches_sql(spark, oracle, name):
     frame = entry_points.queries()[name](spark, SF_DIR)
     result = oracle.execute(entry_points.oracle_sql()[name])
