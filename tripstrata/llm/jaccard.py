@@ -13,10 +13,12 @@ Exact, and without comparing all pairs:
    the keys. The number of classes of a band is doubled until every set in it fills more than ``d``.
 3. *Tiles.* Sets with a common key are compared with the first of them, in tiles of a few hundred.
    A tile compares hashed bitmaps: every bit that only one side has set is an element the other side
-   lacks, which bounds the overlap from above. What passes is intersected exactly, as sorted arrays.
+   lacks, which bounds the overlap from above. Only what passes is sent as whole sets and intersected
+   exactly, as sorted arrays.
 4. Links make components. Where a key still has sets of several components, those outside its largest
-   one are compared, tile by tile, with all sets of the key, except for those known to be connected. No
-   link between components is lost.
+   one are compared, in blocks of bounded size, with all sets of the key, except for those known to be
+   connected: by bitmaps first, and what passes as whole sets, once for all keys that hold nearly the same
+   sets. No link between components is lost.
 
 A NULL text is an empty one; empty sets link with nothing. A NULL ``doc_id`` is kept and never names
 a component. Rows may repeat, and columns other than ``doc_id`` and the text are ignored.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm import words as W
@@ -36,8 +38,9 @@ from tripstrata.llm.buckets import BucketFilter
 from tripstrata.llm.components import components, written
 
 U64 = np.uint64
-SIGNATURE_BITS = 1024
+SIGNATURE_BITS = 2048
 TILE = 256
+BLOCK_SETS, BLOCK_ELEMENTS = 4096, 1_000_000
 ORDER_BUCKETS = 1 << 16
 
 
@@ -121,7 +124,7 @@ def _set_rows(width: int, percent: int):
 
     def rows(batches):
         counts = np.zeros(ORDER_BUCKETS, np.int64)
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, budget=1 << 20):
             sets, n = shingles(piece.column("text"), width)
             counts += np.bincount(_order_bucket(sets), minlength=ORDER_BUCKETS)
             owner, _ = W.segments(n)
@@ -139,6 +142,7 @@ def _set_rows(width: int, percent: int):
                     "sid_b": pa.array(b.view(np.int64)),
                     "refine": pa.array(refine, pa.int32()),
                     "refine_next": pa.array(refine_next, pa.int32()),
+                    "marks": pa.array([x.tobytes() for x in signatures(sets, owner, len(n))], pa.binary()),
                     "counts": pa.nulls(len(n), pa.binary()),
                 }
             )
@@ -155,6 +159,7 @@ _SET_TYPES = {
     "sid_b": pa.int64(),
     "refine": pa.int32(),
     "refine_next": pa.int32(),
+    "marks": pa.binary(),
 }
 
 
@@ -170,7 +175,7 @@ def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | No
     """(key, sid) of every set; with ``wanted`` only of the keys in it."""
 
     def rows(batches):
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, budget=1 << 20):
             sets, n = shingles(piece.column("text"), width)
             owner, _ = W.segments(n)
             sid = W.mix(W.group_sums(W.mix(sets), owner, len(n)) + n.astype(U64))
@@ -212,7 +217,7 @@ def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | No
 
 def _wanted_sets(width: int, wanted: BucketFilter):
     def rows(batches):
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, budget=1 << 20):
             doc_id = piece.column("doc_id").cast(pa.int64())
             ok = wanted.passes(doc_id.fill_null(0).to_numpy(zero_copy_only=False))
             ok &= doc_id.is_valid().to_numpy(zero_copy_only=False)
@@ -239,10 +244,39 @@ def _wanted_sets(width: int, wanted: BucketFilter):
     return rows
 
 
-def signature(elements: np.ndarray) -> np.ndarray:
-    bits = np.zeros(SIGNATURE_BITS, bool)
-    bits[(elements & U64(SIGNATURE_BITS - 1)).astype(np.int64)] = True
-    return np.packbits(bits).view(U64)
+def signatures(sets: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """A bitmap of hash buckets for each set, one row each."""
+    bits = np.zeros(count * SIGNATURE_BITS, bool)
+    bits[owner * SIGNATURE_BITS + (sets & U64(SIGNATURE_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits.reshape(count, SIGNATURE_BITS), axis=1).view(U64)
+
+
+def _possible(size, marks, i, js, percent) -> np.ndarray:
+    """Those of ``js`` that may be similar to ``i``, by their sizes and the bits that only one side has."""
+    small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
+    js = js[100 * small >= percent * large]
+    only_i = np.bitwise_count(marks[i] & ~marks[js]).sum(axis=1).astype(np.int64)
+    only_j = np.bitwise_count(marks[js] & ~marks[i]).sum(axis=1).astype(np.int64)
+    bound = np.minimum(size[i] - only_i, size[js] - only_j)
+    return js[(100 + percent) * bound >= percent * (size[i] + size[js])]
+
+
+def _prune(percent: int):
+    """The sets of a tile that have a possible partner on the other side, by bitmaps alone."""
+
+    def kept(tile: pa.Table) -> pa.Table:
+        marks = np.frombuffer(b"".join(tile.column("marks").to_pylist()), U64).reshape(tile.num_rows, -1)
+        size = tile.column("n_shingles").to_numpy()
+        comp = tile.column("comp").to_numpy()
+        left = np.asarray(tile.column("is_left").to_pylist(), bool)
+        rights, keep = np.flatnonzero(~left), np.zeros(tile.num_rows, bool)
+        for i in np.flatnonzero(left):
+            js = _possible(size, marks, i, rights[comp[rights] != comp[i]], percent)
+            keep[js] = True
+            keep[i] |= len(js) > 0
+        return tile.drop_columns(["marks", "n_shingles"]).filter(pa.array(keep))
+
+    return kept
 
 
 def _compare(percent: int):
@@ -258,20 +292,12 @@ def _compare(percent: int):
         group = tile.column("comp").to_numpy().copy()
         left = np.asarray(tile.column("is_left").to_pylist(), bool)
         size = np.array([len(x) for x in sets])
-        marks = np.stack([signature(x) for x in sets])
+        owner, _ = W.segments(size)
+        marks = signatures(np.concatenate(sets), owner, len(sets))
         rights = np.flatnonzero(~left)
         out = []
         for i in np.flatnonzero(left):
-            js = rights[
-                (100 * np.minimum(size[rights], size[i]) >= percent * np.maximum(size[rights], size[i]))
-                & (group[rights] != group[i])
-            ]
-            if not len(js):
-                continue
-            only_i = np.bitwise_count(marks[i] & ~marks[js]).sum(axis=1)
-            only_j = np.bitwise_count(marks[js] & ~marks[i]).sum(axis=1)
-            bound = np.minimum(size[i] - only_i.astype(np.int64), size[js] - only_j.astype(np.int64))
-            for j in js[(100 + percent) * bound >= percent * (size[i] + size[js])]:
+            for j in _possible(size, marks, i, rights[group[rights] != group[i]], percent):
                 if group[j] == group[i]:
                     continue
                 at = np.searchsorted(sets[i], sets[j])
@@ -297,7 +323,7 @@ class _Join:
         return self.docs.mapInArrow(
             _set_rows(self.width, self.percent),
             "doc_id long, n_shingles long, sid long, sid_b long, refine int, refine_next int, "
-            "counts binary",
+            "marks binary, counts binary",
         )
 
     def keys(self, depth, common, wanted: BucketFilter | None = None) -> DataFrame:
@@ -305,19 +331,29 @@ class _Join:
             _key_rows(self.width, self.percent, depth, common, wanted), "key long, sid long"
         )
 
-    def elements(self, nodes: DataFrame) -> DataFrame:
-        """(node, elements) of the given representatives ``nodes(node, sid, sid_b)``."""
-        wanted = BucketFilter(nodes, F.col("node"))
-        found = self.docs.mapInArrow(
-            _wanted_sets(self.width, wanted), "doc_id long, sid long, sid_b long, elements binary"
+    def possible(self, tiles: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+        """The rows of ``tiles(tile, part, node, comp, is_left)`` that bitmaps leave a partner."""
+        key = ["node", "sid", "sid_b"]
+        marks = sets.select(F.col("doc_id").alias("node"), "sid", "sid_b", "marks")
+        schema = "tile long, part int, node long, sid long, sid_b long, comp long, is_left boolean"
+        names = [x.split()[0] for x in schema.split(", ")]
+        return written(
+            tiles.join(nodes, "node")
+            .join(marks, key)
+            .select(*names, "n_shingles", "marks")
+            .groupBy("tile", "part")
+            .applyInArrow(_prune(self.percent), schema),
+            "tiles",
         )
-        same = (found.doc_id == nodes.node) & (found.sid == nodes.sid) & (found.sid_b == nodes.sid_b)
-        return found.join(nodes, same).select("node", "elements").dropDuplicates(["node"])
 
-    def links(self, tiles: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Compare ``tiles(tile, part, node, comp, is_left)``."""
-        needed = nodes.join(tiles.select("node").distinct(), "node", "left_semi")
-        full = tiles.join(self.elements(written(needed, "needed")), "node")
+    def links(self, tiles: DataFrame) -> DataFrame:
+        """Compare the whole sets of the tiles that ``possible`` left."""
+        wanted = BucketFilter(tiles, F.col("node"))
+        found = self.docs.mapInArrow(
+            _wanted_sets(self.width, wanted), "doc_id long, sid long, sid_b long, elements binary"
+        ).withColumnRenamed("doc_id", "node")
+        full = found.join(tiles, ["node", "sid", "sid_b"])
+        full = full.select("tile", "part", "node", "comp", "is_left", "elements")
         return full.groupBy("tile", "part").applyInArrow(_compare(self.percent), "a long, b long")
 
 
@@ -332,7 +368,7 @@ def jaccard_components(
     nodes = written(
         sets.where("n_shingles > 0")
         .groupBy("sid", "sid_b")
-        .agg(F.min("doc_id").alias("node"))
+        .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"))
         .where("node IS NOT NULL"),
         "nodes",
     )
@@ -352,16 +388,18 @@ def jaccard_components(
         .select("key", "low", "sid"),
         "members",
     )
-    named = nodes.select("node", "sid")
+    named = nodes.select("node", "sid", "n_shingles")
     star = members.where("sid <> low").select("low", "sid").distinct()
-    links = written(
-        join.links(_star_tiles(star, named), nodes), "links"
-    )
+    tiles = join.possible(_star_tiles(star, named), nodes, sets)
+    links = written(join.links(tiles), "links")
     comps = components(links)
-    left = _unsettled(members, named, comps)
-    if not left.isEmpty():
-        more = written(join.links(_cross_tiles(left), nodes), "links")
-        comps = components(links.unionByName(more))
+    unsettled = _unsettled(members, named, comps)
+    if not unsettled.isEmpty():
+        tiles = join.possible(_cross_tiles(_by_key(unsettled)), nodes, sets)
+        left = tiles.select(F.col("tile").alias("key"), "node", "comp").distinct()
+        left = written(left.join(nodes.select("node", "n_shingles"), "node"), "unsettled")
+        tiles = join.possible(_cross_tiles(_by_family(left)), nodes, sets)
+        comps = components(links.unionByName(written(join.links(tiles), "links")))
     return _labelled(sets, nodes, comps)
 
 
@@ -415,43 +453,91 @@ def _star_tiles(star: DataFrame, named: DataFrame) -> DataFrame:
         F.col("low").alias("sid"),
         F.lit(True).alias("is_left"),
     )
-    return written(
+    return (
         right.unionByName(left)
         .join(named, "sid")
-        .select("tile", "part", "node", F.col("node").alias("comp"), "is_left"),
-        "tiles",
+        .select("tile", "part", "node", F.col("node").alias("comp"), "is_left")
     )
 
 
 def _unsettled(members: DataFrame, named: DataFrame, comps: DataFrame) -> DataFrame:
     """Members of the keys that still hold sets of several components."""
-    placed = members.select("key", "sid").join(named, "sid")
     comp = comps.select("node", F.col("component").alias("comp"))
-    placed = placed.join(comp, "node", "left").select(
-        "key", "node", F.coalesce("comp", "node").alias("comp")
+    placed = (
+        members.select("key", "sid")
+        .join(named, "sid")
+        .join(comp, "node", "left")
+        .select("key", "node", "n_shingles", F.coalesce("comp", "node").alias("comp"))
     )
-    of_comp = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
-        of_comp.groupBy("key")
-        .agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
-        .where("main.n < n")
-        .select("key", F.col("main.comp").alias("main"), F.col("main.n").alias("m"), "n")
+        placed.groupBy("key")
+        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+        .where("x < y")
+        .select("key")
     )
-    # Keys with the same members settle the same pairs.
-    one = placed.join(mixed, "key")
-    same = one.groupBy("key", "n").agg(F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
-    keys = same.groupBy("who", "n").agg(F.min("key").alias("key")).select("key")
-    return written(
-        one.join(keys, "key").select(
-            "key",
-            "node",
-            "comp",
-            (F.col("comp") != F.col("main")).alias("minor"),
-            F.ceil((F.col("n") - F.col("m")) / TILE).cast("int").alias("lefts"),
-            F.ceil(F.col("n") / TILE).cast("int").alias("rights"),
-        ),
-        "unsettled",
+    return written(placed.join(mixed, "key"), "unsettled")
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    """Sets to be compared with the others of their key."""
+    sized = _sized(rows.withColumnRenamed("key", "unit"), "unit", whole_sets=False)
+    rows = rows.select(F.col("key").alias("unit"), "node", "comp")
+    return _minor(rows.join(sized.select(*_SIZES), "unit"))
+
+
+def _by_family(rows: DataFrame) -> DataFrame:
+    """Sets to be compared with the others of their family, or of their key.
+
+    A family is all sets that keys tie together directly or in chains. Most keys of a family hold nearly
+    the same sets, which are then compared once. Where its keys are the smaller work, they are taken.
+    """
+    low = rows.groupBy("key").agg(F.min("node").alias("low"))
+    family = components(rows.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    rows = written(rows.join(family, "node"), "families")
+    by_key = _sized(rows.withColumnRenamed("key", "unit"), "unit", "component")
+    whole = rows.select("node", "n_shingles", "comp", F.col("component").alias("unit")).distinct()
+    by_family = _sized(whole, "unit")
+    work = by_key.groupBy(F.col("component").alias("unit")).agg(F.sum("work").alias("by_key"))
+    chosen = by_family.join(work, "unit").where("work <= by_key")
+    split = by_key.join(chosen.select(F.col("unit").alias("component")), "component", "left_anti")
+    found = whole.select("unit", "node", "comp").join(chosen.select(*_SIZES), "unit")
+    keyed = rows.select(F.col("key").alias("unit"), "node", "comp")
+    return _minor(found.unionByName(keyed.join(split.select(*_SIZES), "unit")))
+
+
+def _minor(rows: DataFrame) -> DataFrame:
+    return written(rows.withColumn("minor", F.col("comp") != F.col("main")), "units")
+
+
+_SIZES = ("unit", "main", "lefts", "rights")
+
+
+def _sized(rows: DataFrame, *unit: str, whole_sets: bool = True) -> DataFrame:
+    """Each unit's largest component, its blocks on either side, and the rows that makes.
+
+    Blocks hold a bounded number of sets, and of elements where whole sets are to be compared.
+    """
+    of_comp = rows.groupBy(*unit, "comp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("elements")
+    )
+
+    def blocks(n: Column, elements: Column) -> Column:
+        most = F.greatest(n / BLOCK_SETS, elements / BLOCK_ELEMENTS) if whole_sets else n / BLOCK_SETS
+        return F.ceil(most).cast("int")
+
+    sized = (
+        of_comp.groupBy(*unit)
+        .agg(
+            F.max(F.struct("n", "comp", "elements")).alias("largest"),
+            F.sum("n").alias("n"),
+            F.sum("elements").alias("elements"),
+        )
+        .withColumn("minors", F.col("n") - F.col("largest.n"))
+        .withColumn("lefts", blocks(F.col("minors"), F.col("elements") - F.col("largest.elements")))
+        .withColumn("rights", blocks(F.col("n"), F.col("elements")))
     )
+    work = F.col("n") * F.col("lefts") + F.col("minors") * F.col("rights")
+    return sized.select(*unit, F.col("largest.comp").alias("main"), "lefts", "rights", work.alias("work"))
 
 
 def _cross_tiles(unsettled: DataFrame) -> DataFrame:
@@ -466,7 +552,7 @@ def _cross_tiles(unsettled: DataFrame) -> DataFrame:
     left = F.when(F.col("is_left"), F.col("block")).otherwise(F.col("other"))
     right = F.when(F.col("is_left"), F.col("other")).otherwise(F.col("block"))
     part = (left * F.col("rights") + right).cast("int").alias("part")
-    return written(paired.select(F.col("key").alias("tile"), part, "node", "comp", "is_left"), "tiles")
+    return paired.select(F.col("unit").alias("tile"), part, "node", "comp", "is_left")
 
 
 def _labelled(sets: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
