@@ -11,7 +11,7 @@ from tests.llm import plain
 from tests.llm.conftest import SCHEMA, SF
 from tripstrata.llm import decontaminate, language, quality_model, secrets, token_blocks
 from tripstrata.llm.bpe import encode_documents
-from tripstrata.llm.class_lm import exchange, score_documents
+from tripstrata.llm.class_lm import best_classes, exchange, likelihood, score_documents
 from tripstrata.llm.components import components
 from tripstrata.llm.jaccard import jaccard_components
 from tripstrata.llm.near_duplicates import keep_one_of_each
@@ -334,6 +334,48 @@ def test_exchange_groups_words_that_are_used_alike():
     assert len(set(of[:3])) == 1 and len(set(of[3:])) == 1 and of[0] != of[3]
 
 
+def test_best_class_of_a_word():
+    """Against the likelihood of the class bigrams counted anew for every class."""
+    rng = np.random.default_rng(3)
+    core, classes, size = 12, 4, 7
+    counts = rng.integers(0, 9, (core + 3, core + 3)) * (rng.random((core + 3, core + 3)) < 0.5)
+    of = np.concatenate([rng.integers(0, classes, core - 1), [classes], classes + np.arange(3)])
+
+    def grid(of):
+        out = np.zeros((size, size))
+        np.add.at(out, (of[:, None], of[None, :]), counts)
+        return out
+
+    entries = []
+    for w in range(core):
+        for side, row in ((0, counts[w]), (1, counts[:, w])):
+            others = np.bincount(of, np.where(np.arange(core + 3) == w, 0, row), size)
+            entries += [(w, side, d, others[d]) for d in np.flatnonzero(others)]
+    own, side, cls, n = (np.array(x) for x in zip(*entries, strict=True))
+    found = best_classes(grid(of), classes, of[:core], own, side, cls, n, counts.diagonal()[:core].astype(float))
+    for w in range(core):
+        reached = []
+        for c in range(classes):
+            moved = of.copy()
+            moved[w] = c
+            reached.append(likelihood(grid(moved)))
+        assert found[w] == np.argmax(reached)
+
+
+def test_classes_are_learned_for_all_but_the_rarest_words(spark):
+    """Two kinds of 700 words each take turns. Which word is of which kind, its letters do not tell."""
+    rng = np.random.default_rng(8)
+    names = rng.permutation([f"w{k}" for k in range(1400)])
+    rows = []
+    for d in range(600):
+        kinds = names[:700], names[700:]
+        rows.append((d, " ".join(kinds[k % 2][rng.integers(700)] for k in range(100))))
+    found = score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    held_out = [r for r in found if r.held_out]
+    gain = sum(r.score - r.base_score for r in held_out) / sum(r.n_tokens for r in held_out)
+    assert gain > 0.9 * np.log10(2)
+
+
 def test_empty_table_and_schema(no_docs):
     assert no_docs.schema.simpleString() and SCHEMA
     assert encode_documents(no_docs, WORD_BPE).count() == 0

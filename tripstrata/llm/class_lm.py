@@ -2,12 +2,15 @@
 
 ``P(w | v) = P(class(w) | class(v)) * P(w | class(w))``, over folded words and an end token per document.
 
-* The ``CORE`` most frequent words are assigned to ``CLASSES`` classes by the exchange algorithm: a word
-  moves to the class that raises the likelihood of all class bigrams most, until none moves. All other
-  words have a class by their last two bytes; the end token has its own. The counts behind this are those
-  of all training documents, of a fixed number of symbols (``CORE + TAIL + 1``), and so of fixed size.
-* Emissions use the count of every word of the training documents. The ``FREQUENT`` most frequent ones
-  are sent to all executors (16 bytes each); a document's other words meet their counts in a join. So no
+* Every word that occurs ``LEAST`` times or more in the training documents is assigned to a class by the exchange
+  algorithm: a word moves to the class that raises the likelihood of all class bigrams most. Only rarer words keep
+  a class by their last two bytes; the end token has its own. Classes grow with the cube root of those words.
+* Word bigrams are counted once and stored as left and right contexts by word. In each round every task finds the
+  best class of its words against the class bigrams of the round before, and about half of the words that gain may
+  move. A round that lowers the likelihood is taken back, and the next one moves fewer. So the classes do not
+  depend on how rows are dealt to tasks.
+* Emissions use the count of every word of the training documents. The exchanged words, and ``FREQUENT`` words at
+  least, are sent to all executors (18 bytes each); a document's other words meet their counts in a join. So no
   word that stands in most documents is ever shuffled row by row.
 
 Documents whose ``crc32(doc_id) % 10`` is 0 are held out; those without ``doc_id`` are not. NULL text is an
@@ -25,15 +28,18 @@ from tripstrata.llm import words as W
 from tripstrata.llm.components import written
 
 U64 = np.uint64
-CORE = 512
+LEAST = 10
 CLASSES = 32
 TAIL = 64
 FREQUENT = 1 << 17
+ROUNDS = 8
+ENOUGH = 0.002
 SMOOTH = 0.1
 END = U64(0x5EED)
-END_SYMBOL = CORE + TAIL
-SYMBOLS = CORE + TAIL + 1
 _FLUSH = 1 << 21
+_PAIRS = 1 << 20
+_BUCKET = 1 << 18
+_CELLS = 1 << 19
 
 
 def _tokens(texts: pa.LargeStringArray):
@@ -97,52 +103,329 @@ def _count_batches(h, c, n):
 
 
 class Lexicon:
-    """The most frequent words: sorted hashes and their places in the order of frequency."""
+    """Words sorted by hash, with their counts; those of at least ``LEAST`` have a symbol of their own."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.sorted = hashes[self.order]
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        order = np.argsort(hashes)
+        self.sorted, self.counts = hashes[order], counts[order]
+        self.order = order
+
+    def __len__(self) -> int:
+        return len(self.sorted)
+
+    @property
+    def free(self) -> np.ndarray:
+        return (self.counts >= LEAST) & (self.sorted != END)
 
     def places(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash, or -1."""
         if not len(self.sorted):
             return np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == h, self.order[at], -1)
+        return np.where(self.sorted[at] == h, at, -1)
 
 
-def _symbols(core: Lexicon, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    place = core.places(h)
-    return np.where(place >= 0, place, CORE + tail)
+def _symbols(words: Lexicon, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    place = words.places(h)
+    own = place >= 0
+    own[own] = words.free[place[own]]
+    return np.where(own, place, len(words) + tail)
 
 
-def _pairs(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _before(symbols: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     """The symbol before each one; texts begin after an end token."""
     before = np.empty_like(symbols)
     before[1:] = symbols[:-1]
-    before[(np.cumsum(lengths) - lengths)] = END_SYMBOL
+    before[(np.cumsum(lengths) - lengths)] = end
     return before
 
 
-def _bigram_rows(core):
+_CONTEXTS = "bucket int, own binary, other binary, n binary"
+
+
+def _context_batch(bucket: np.ndarray, own: np.ndarray, other: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket; sorted by bucket and ``own``, of which the steps are stored."""
+    begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+    step = np.diff(own, prepend=0)
+    step[begin] = own[begin]
+    offsets = np.append(begin, len(own))
+    arrays = [pa.array(bucket[begin], pa.int32())]
+    for x, t in ((step, np.int32), (other, np.int32), (n, np.int64)):
+        values = pa.py_buffer(np.ascontiguousarray(x, t))
+        ends = pa.py_buffer((offsets * np.dtype(t).itemsize).astype(np.int32))
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(begin), [None, ends, values]))
+    return pa.RecordBatch.from_arrays(arrays, names=["bucket", "own", "other", "n"])
+
+
+def _rows(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _contexts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own, other, n = (np.frombuffer(row[x], t) for x, t in (("own", "i4"), ("other", "i4"), ("n", "i8")))
+    return np.cumsum(own, dtype=np.int64), other.astype(np.int64), n
+
+
+def _context_rows(words, buckets: int):
+    """Counts of neighbours, ``own = 2 * (symbol // buckets) + side``: side 0 for what follows, 1 for what precedes.
+
+    Symbols that cannot move have side 0 only.
+    """
+
     def rows(batches):
-        counts = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+        lexicon = words.value
+        size = len(lexicon) + TAIL + 1
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def flushed():
+            keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            at, total = _summed(keys, n)
+            held[:] = [(keys[at], total)]
+
+        def packed():
+            flushed()
+            keys, n = held.pop()
+            first, second = (x.astype(np.int32) for x in np.divmod(keys, size))
+            del keys
+            yield sided(first, second, n, 0)
+            left = second < len(lexicon)
+            if left.any():
+                yield sided(second[left], first[left], n[left], 1)
+
+        def sided(symbol, other, n, side):
+            own, bucket = np.divmod(symbol, np.int32(buckets))
+            at = np.argsort(bucket.astype(np.int64) << 32 | own)
+            return _context_batch(bucket[at], own[at] * 2 + side, other[at], n[at])
+
         for piece in W.pieces(batches):
             h, tail, _, lengths = _tokens(piece.column("text"))
-            symbols = _symbols(core.value, h, tail)
-            counts += np.bincount(
-                _pairs(symbols, lengths) * SYMBOLS + symbols, minlength=SYMBOLS * SYMBOLS
-            )
-        at = np.flatnonzero(counts)
+            symbols = _symbols(lexicon, h, tail)
+            keys = _before(symbols, lengths, size - 1) * size + symbols
+            at, n = _summed(keys, np.ones(len(keys), np.int64))
+            held.append((keys[at], n))
+            waiting += len(at)
+            if waiting > _PAIRS:
+                flushed()
+                waiting = len(held[0][0])
+                if waiting > _PAIRS // 2:
+                    yield from packed()
+                    waiting = 0
+        if held:
+            yield from packed()
+
+    return rows
+
+
+def _merged_rows(batches):
+    """One row for each bucket."""
+    found: dict[int, list] = {}
+    for row in _rows(batches):
+        found.setdefault(row["bucket"], []).append(row)
+    for bucket in list(found):
+        parts = [_contexts(row) for row in found.pop(bucket)]
+        own, other, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        at, total = _summed(own << 32 | other, n)
+        yield _context_batch(np.full(len(at), bucket), own[at], other[at], total)
+
+
+def _grid_rows(state, buckets: int):
+    """How often one class follows another."""
+
+    def rows(batches):
+        of, size = state.value
+        grid = np.zeros(size * size, np.int64)
+        for row in _rows(batches):
+            own, other, n = _contexts(row)
+            right = own % 2 == 0
+            symbol = (own[right] >> 1) * buckets + row["bucket"]
+            pair = of[symbol].astype(np.int64) * size + of[other[right]]
+            at, total = _summed(pair, n[right])
+            grid[pair[at]] += total
+        at = np.flatnonzero(grid)
         for lo in range(0, len(at), 1 << 17):
             part = at[lo : lo + (1 << 17)]
-            yield pa.RecordBatch.from_pydict({"pair": pa.array(part, pa.int32()), "n": counts[part]})
+            yield pa.RecordBatch.from_pydict({"pair": pa.array(part, pa.int64()), "n": grid[part]})
 
     return rows
 
 
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def likelihood(grid: np.ndarray) -> float:
+    return float(_f(grid).sum() - _f(grid.sum(axis=1)).sum() - _f(grid.sum(axis=0)).sum())
+
+
+def best_classes(
+    grid: np.ndarray, classes: int, now: np.ndarray, own: np.ndarray, side: np.ndarray, of: np.ndarray,
+    n: np.ndarray, alone: np.ndarray,
+) -> np.ndarray:
+    """For each word the class among the first ``classes`` that suits it best, all others staying where they are.
+
+    ``now`` is the class of each word, ``alone`` how often it follows itself. Entry e says that word ``own[e]`` is
+    followed (side 0) or preceded (side 1) by other words of class ``of[e]`` ``n[e]`` times; sorted by word.
+    """
+    words, size = len(now), len(grid)
+    free = np.arange(classes)
+    here, row = np.arange(words), free[None, :]
+    by_side = [grid.T[:, :classes].copy(), grid[:, :classes].copy()]
+    logged = [_f(x) for x in by_side]
+    near = np.zeros((2, words, classes))
+    inner = of < classes
+    near[side[inner], own[inner], of[inner]] = n[inner]
+    gain = np.zeros((words, classes))
+    movable = now < classes
+    for k in (0, 1):
+        at = np.flatnonzero(side == k)
+        step = max(1, _CELLS // classes)
+        for lo in range(0, len(at), step):
+            e = at[lo : lo + step]
+            w, d, c = own[e], of[e], n[e][:, None]
+            x, fx = by_side[k][d], logged[k][d]
+            a = now[w]
+            # Take the word out of its class: its own row of cells, and its column where it is met.
+            i = np.flatnonzero(a < classes)
+            x[i, a[i]] -= n[e][i]
+            same = np.flatnonzero(d == a)
+            x[same] -= near[1 - k, w[same]]
+            both = same[a[same] < classes]
+            x[both, a[both]] -= alone[w[both]]
+            fx[i, a[i]] = _f(x[i, a[i]])
+            fx[same] = _f(x[same])
+            y = _f(x + c) - fx
+            i = np.flatnonzero(d < classes)
+            y[i, d[i]] = 0.0
+            begin = np.flatnonzero(np.diff(w, prepend=-1))
+            gain[w[begin]] += np.add.reduceat(y, begin)
+    both = near[0] + near[1] + alone[:, None]
+    diagonal = np.broadcast_to(grid[free, free], (words, classes)).copy()
+    a = now[movable]
+    diagonal[here[movable], a] -= both[here[movable], a]
+    gain += _f(diagonal + both) - _f(diagonal)
+    for k, sums in enumerate((grid.sum(axis=1), grid.sum(axis=0))):
+        mass = np.bincount(own[side == k], n[side == k], words) + alone
+        held = np.broadcast_to(sums[free], (words, classes)).copy()
+        held[here[movable], a] -= mass[movable]
+        gain -= _f(held + mass[:, None]) - _f(held)
+    best = np.argmax(gain, axis=1)
+    stays = movable.copy()
+    stays[movable] = gain[here[movable], best[movable]] <= gain[here[movable], a] + 1e-9
+    return np.where(stays, now, best)
+
+
+def _move_rows(state, grid, buckets: int, classes: int, turn: int, share: int):
+    """Words that gain by another class, of those whose turn it is."""
+
+    def rows(batches):
+        of, _ = state.value
+        table = grid.value
+        words = len(of) - TAIL - 1
+        for row in _rows(batches):
+            own, other, n = _contexts(row)
+            symbol = (own >> 1) * buckets + row["bucket"]
+            due = symbol < words
+            if share > 1:
+                due &= W.mix(symbol.astype(U64) + U64(turn << 40)) % U64(share) == 0
+            own, other, n, symbol = own[due], other[due], n[due], symbol[due]
+            if not len(own):
+                continue
+            begin = np.flatnonzero(np.diff(symbol, prepend=-1))
+            place = np.cumsum(np.diff(symbol, prepend=-1) != 0) - 1
+            symbols = symbol[begin]
+            itself = other == symbol
+            alone = np.bincount(place[itself & (own % 2 == 0)], n[itself & (own % 2 == 0)], len(symbols))
+            key = (own << 20 | of[other])[~itself]
+            at, total = _summed(key, n[~itself])
+            place = place[~itself][at]
+            side, cls = (key[at] >> 20) % 2, key[at] & ((1 << 20) - 1)
+            # A few thousand words at a time bound the tables of words by classes.
+            step = max(1, _CELLS // classes)
+            for lo in range(0, len(symbols), step):
+                hi = min(lo + step, len(symbols))
+                e = slice(*np.searchsorted(place, [lo, hi]))
+                now = of[symbols[lo:hi]].astype(np.int64)
+                best = best_classes(
+                    table, classes, now, place[e] - lo, side[e], cls[e], total[e].astype(float), alone[lo:hi]
+                )
+                moved = np.flatnonzero(best != now)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "symbol": pa.array(symbols[lo:hi][moved], pa.int32()),
+                        "cls": pa.array(best[moved], pa.int32()),
+                    }
+                )
+
+    return rows
+
+
+def cluster(train: DataFrame, words: Lexicon, tail: np.ndarray, tokens: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """The class of every symbol, the number of classes found by exchange, and the class bigrams.
+
+    The most frequent words begin as classes of their own, all others in the class of their ending; the first
+    round places these.
+    """
+    context = train.sparkSession.sparkContext
+    free = np.flatnonzero(words.free)
+    classes = min(max(CLASSES, round(len(free) ** (1 / 3))), len(free))
+    size = classes + TAIL + 1
+    of = np.concatenate([classes + tail, classes + np.arange(TAIL + 1)]).astype(np.int32)
+    first = free[np.lexsort((words.sorted[free], -words.counts[free]))][:classes]
+    of[first] = np.arange(classes)
+    buckets = max(8, tokens // _BUCKET)
+    shared = context.broadcast(words)
+    table = written(
+        train.mapInArrow(_context_rows(shared, buckets), _CONTEXTS)
+        .repartition(max(8, buckets // 2), "bucket")
+        .mapInArrow(_merged_rows, _CONTEXTS),
+        "word_contexts",
+    )
+    shared.destroy()
+
+    def bigrams(state) -> np.ndarray:
+        found = (
+            table.mapInArrow(_grid_rows(state, buckets), "pair long, n long")
+            .groupBy("pair")
+            .agg(F.sum("n").alias("n"))
+            .toPandas()
+        )
+        grid = np.zeros(size * size)
+        grid[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+        return grid.reshape(size, size)
+
+    state = context.broadcast((of, size))
+    grid = bigrams(state)
+    reached, share = likelihood(grid), 1
+    for turn in range(ROUNDS if classes else 0):
+        sent = context.broadcast(grid)
+        moves = table.mapInArrow(
+            _move_rows(state, sent, buckets, classes, turn, share), "symbol int, cls int"
+        ).toPandas()
+        sent.destroy()
+        tried = of.copy()
+        tried[moves["symbol"].to_numpy(np.int64)] = moves["cls"].to_numpy(np.int32)
+        next_state = context.broadcast((tried, size))
+        next_grid = bigrams(next_state)
+        rise = likelihood(next_grid) - reached
+        if turn and rise < 0:
+            next_state.destroy()
+            share *= 2
+            continue
+        state.destroy()
+        of, state, grid, reached = tried, next_state, next_grid, reached + rise
+        if turn and rise < ENOUGH * tokens / share:
+            break
+        share = max(share, 2)
+    state.destroy()
+    return of, classes, grid
+
+
 def exchange(counts: np.ndarray, core: int, classes: int, sweeps: int = 30) -> np.ndarray:
-    """The class of each of the first ``core`` symbols; the others keep classes of their own.
+    """The class of each of the first ``core`` symbols; the others keep classes of their own. One word moves at a
+    time: for tables that one machine holds, and to compare ``best_classes`` with.
 
     ``counts[v, w]`` is how often w follows v. Raises the sum of ``f(N(c, d)) - f(N(c)) - f(N(d))`` over class
     bigrams, with ``f(x) = x log x``.
@@ -212,14 +495,15 @@ def _score_rows(model):
         m = model.value
         for piece in W.pieces(batches):
             h, tail, doc, lengths = _tokens(piece.column("text"))
-            symbols = m["class_of"][_symbols(m["core"], h, tail)]
-            before = m["class_of"][END_SYMBOL] + np.zeros(len(h), np.int64)
-            before[1:] = symbols[:-1]
-            before[(np.cumsum(lengths) - lengths)] = m["class_of"][END_SYMBOL]
-            place = m["frequent"].places(h)
+            place = m["words"].places(h)
             known = place >= 0
-            score = m["moves"][before, symbols] + np.where(known, m["emits"][place], 0.0)
-            base = np.where(known, m["base"][place], 0.0)
+            symbols = m["fallback"] + tail
+            symbols[known] = m["class_of"][place[known]]
+            before = _before(symbols, lengths, m["fallback"] + TAIL)
+            count = np.where(known, m["words"].counts[place] if len(m["words"]) else 0, 0) + SMOOTH
+            emits = np.where(symbols < m["fallback"] + TAIL, np.log10(count / m["below"][symbols]), 0.0)
+            score = m["moves"][before, symbols] + np.where(known, emits, 0.0)
+            base = np.where(known, np.log10(count / m["norm"]), 0.0)
             docs = len(lengths)
             key = piece.column("key")
             yield _score_batch(
@@ -243,7 +527,7 @@ def _score_rows(model):
                 k = len(rare[s])
                 yield _score_batch(
                     key[s], pa.nulls(k, pa.int64()), empty[s], empty[s], empty[s], empty[s],
-                    h[rare[s]], m["rare_class"][tail[rare[s]]], n[s],
+                    h[rare[s]], tail[rare[s]], n[s],
                 )
 
     return rows
@@ -268,7 +552,8 @@ def _score_batch(key, doc_id, n_tokens, n_known, base, score, h, cls, n) -> pa.R
 
 
 def _frequent(counts: DataFrame) -> DataFrame:
-    """The words whose count is in the highest bands that together hold at most ``FREQUENT`` words.
+    """The words of at least ``LEAST``, and those whose count is in the highest bands that together hold at most
+    ``FREQUENT`` words.
 
     Bands are 16 to a doubling, so a few hundred rows tell where to stop, and no task sends more
     than its share of what is kept.
@@ -281,7 +566,8 @@ def _frequent(counts: DataFrame) -> DataFrame:
         if held > FREQUENT:
             break
         least = row["band"]
-    return counts.where(band >= least) if least is not None else counts.limit(0)
+    kept = F.col("c") >= LEAST
+    return counts.where(kept | (band >= least) if least is not None else kept)
 
 
 def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -300,50 +586,33 @@ def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         "word_counts",
     )
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = _frequent(counts).toPandas().sort_values(["c", "h"], ascending=[False, True])
-    hashes = frequent["h"].to_numpy(np.int64).view(U64)
-    in_core = np.flatnonzero(hashes != END)[:CORE]
-    core = Lexicon(hashes[in_core])
-    pairs = (
-        train.mapInArrow(_bigram_rows(spark.sparkContext.broadcast(core)), "pair int, n long")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    table = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-    table[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.int64)
-    table = table.reshape(SYMBOLS, SYMBOLS)
-
-    of = exchange(table, CORE, CLASSES)
-    size = CLASSES + TAIL + 1
-    moves = np.zeros((size, size))
-    np.add.at(moves, (of[:, None], of[None, :]), table)
-    moves = np.log10((moves + SMOOTH) / (moves.sum(axis=1, keepdims=True) + SMOOTH * size))
-
-    # Tokens and distinct words of every class: core words by exchange, the others by their tail.
+    frequent = _frequent(counts).toPandas()
+    words = Lexicon(frequent["h"].to_numpy(np.int64).view(U64), frequent["c"].to_numpy(np.int64))
+    tail = frequent["cls"].to_numpy(np.int64)[words.order]
+    del words.order
+    of, classes, table = cluster(train, words, tail, int(total))
+    size = len(table)
+    moves = np.log10((table + SMOOTH) / (table.sum(axis=1, keepdims=True) + SMOOTH * size))
+
+    # Tokens and distinct words of every class: exchanged words in theirs, the others by their tail.
     tails = counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()
     mass, kinds = np.zeros(size), np.zeros(size)
-    np.add.at(mass, CLASSES + tails["cls"].to_numpy(int), tails["c"].to_numpy(float))
-    np.add.at(kinds, CLASSES + tails["cls"].to_numpy(int), tails["v"].to_numpy(float))
-    c = frequent["c"].to_numpy(float)
-    cls = CLASSES + frequent["cls"].to_numpy(int)
-    for sign, where in ((-1, cls[in_core]), (1, of[: len(in_core)])):
-        np.add.at(mass, where, sign * c[in_core])
+    np.add.at(mass, classes + tails["cls"].to_numpy(int), tails["c"].to_numpy(float))
+    np.add.at(kinds, classes + tails["cls"].to_numpy(int), tails["v"].to_numpy(float))
+    of = of[: len(words)]
+    for sign, where in ((-1, classes + tail), (1, of)):
+        np.add.at(mass, where, sign * words.counts.astype(float))
         np.add.at(kinds, where, sign)
-    cls[in_core] = of[: len(in_core)]
     below = mass + SMOOTH * (kinds + 1)
-    emits = np.log10((c + SMOOTH) / below[cls])
-    emits[cls == CLASSES + TAIL] = 0.0  # the end class holds nothing else
     norm = total + SMOOTH * (distinct + 1)
     model = spark.sparkContext.broadcast(
         {
-            "core": core,
-            "frequent": Lexicon(hashes),
-            "class_of": of,
+            "words": words,
+            "class_of": of.astype(np.int32),
+            "fallback": classes,
             "moves": moves,
-            "emits": np.append(emits, 0.0),
-            "base": np.append(np.log10((c + SMOOTH) / norm), 0.0),
-            "rare_class": np.arange(TAIL + 1),
+            "below": below,
+            "norm": norm,
         }
     )
     scored = plain.withColumn("key", F.monotonically_increasing_id()).select("key", "doc_id", "text")
@@ -354,7 +623,7 @@ def score_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     found = parts.join(counts, ["h", "cls"], "left")
     share = F.coalesce("c", F.lit(0)) + SMOOTH
-    of_class = F.element_at(F.array(*[F.lit(float(x)) for x in below[CLASSES:]]), F.col("cls") + 1)
+    of_class = F.element_at(F.array(*[F.lit(float(x)) for x in below[classes:]]), F.col("cls") + 1)
     rare = F.col("cls") >= 0
     summed = found.groupBy("key").agg(
         F.max("doc_id").alias("doc_id"),
