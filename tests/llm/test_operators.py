@@ -77,6 +77,28 @@ def test_token_files(some_docs):
         start += len(ids)
 
 
+def test_one_id_goes_to_several_token_files(spark, tmp_path):
+    """Texts of one id, and texts without one, are dealt out; their places still follow one another."""
+    rows = [(k if k % 3 else None if k % 2 else 7, f"text {k} " * (1 + k % 5)) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        manifest = token_blocks.write_token_files(df, BYTE_BPE, 2, f"file://{tmp_path}/tokens")
+        files = manifest.groupBy("first_doc").count().collect()
+        assert max(r["count"] for r in files if r.first_doc in (None, 7)) > 1
+        found = sorted(token_blocks.read_token_files(manifest).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.set(key, before)
+    ids = [-1 if r.doc_id is None else r.doc_id for r in found]
+    assert ids == sorted(-1 if k is None else k for k, _ in rows)
+    at = 0
+    for r in found:
+        assert r.start == at
+        at += r.n_tokens
+
+
 def test_blocks_hold_any_ids():
     random = np.random.default_rng(1)
     for size in (0, 1, 511, 512, 513, 3000):

@@ -167,9 +167,10 @@ class Reader:
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFrame:
     """Encode all texts, with ``end_id`` after each, into files in ascending ``doc_id`` order.
 
-    Returns the manifest: ``path, n_docs, n_tokens, first_doc`` of each file. The folder's file system is
+    Returns the manifest: ``path, n_docs, n_tokens, first_doc, first_hash`` of each file. The folder's file system is
     any that pyarrow opens by its address, and has to be one that all executors share. A NULL text is
-    an empty one, NULL ``doc_id`` come first, equal ones in the order of their texts.
+    an empty one, NULL ``doc_id`` come first, equal ones in the order of a hash of their texts, so that the rows
+    of one id are dealt to several files.
     """
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
@@ -177,11 +178,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str)
     def rows(batches):
         words, out, uri = Subwords.of(tokenizer), None, ""
         docs = tokens = 0
-        first = None
+        first = first_hash = None
         for piece in W.pieces(batches, budget=1 << 20):
             if out is None:
                 uri = f"{folder}/tokens-{uuid.uuid4().hex}.pfor"
                 out, first = Writer(uri), piece.column("doc_id")[0].as_py()
+                first_hash = piece.column("text_hash")[0].as_py()
             found = words.encode(piece.column("text").to_pylist())
             ids = [np.frombuffer(x, words.kind) for x in found]
             lengths = np.array([len(x) + 1 for x in ids])
@@ -196,15 +198,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str)
                     "n_docs": pa.array([docs], pa.int64()),
                     "n_tokens": pa.array([tokens], pa.int64()),
                     "first_doc": pa.array([first], pa.int64()),
+                    "first_hash": pa.array([first_hash], pa.int64()),
                 }
             )
 
     ordered = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+        .repartitionByRange("doc_id", "text_hash")
+        .sortWithinPartitions("doc_id", "text_hash", "text")
     )
-    schema = "path string, n_docs long, n_tokens long, first_doc long"
+    schema = "path string, n_docs long, n_tokens long, first_doc long, first_hash long"
     return written(ordered.mapInArrow(rows, schema), "manifest")
 
 
@@ -227,7 +231,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 )
                 reader.close()
 
-    before = Window.orderBy(F.col("first_doc").asc_nulls_first()).rowsBetween(
+    before = Window.orderBy(F.col("first_doc").asc_nulls_first(), "first_hash").rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = manifest.select(
