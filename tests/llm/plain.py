@@ -1,7 +1,10 @@
 """Plain Python versions of the operators, for small inputs."""
 
+import hashlib
+import math
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -18,9 +21,9 @@ def shingles(text, width=5):
     return frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1))
 
 
-def components(rows, percent=80):
+def components(rows, percent=80, width=5):
     """(doc_id, set size, smallest linked doc_id) for rows of (doc_id, text) with distinct ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(i):
@@ -89,3 +92,91 @@ def secrets(text):
 
 def normal(text):
     return " ".join("".join(c if c.isalnum() else " " for c in (text or "").lower()).split())
+
+
+def spelling(rows):
+    """word -> (form, root, n, near words, n of the form) for rows of (doc_id, text)."""
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(FOLD)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    shorter = defaultdict(set)
+    for w in counts:
+        for v in (w, *(w[:k] + w[k + 1 :] for k in range(len(w)))):
+            shorter[v].add(w)
+    partners = defaultdict(set)
+    for group in shorter.values():
+        for a in group:
+            partners[a] |= {b for b in group if near(a, b)}
+    form = {}
+    for w, n in counts.items():
+        best = min(partners[w], key=lambda v: (-counts[v], v), default=None)
+        if best is not None and counts[best] >= 5 * n:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(partners[w]), counts.get(form.get(w))) for w, n in counts.items()}
+
+
+def prefix_nodes(rows):
+    """The nodes of rebuilt conversations from rows of (conv_id, turn, role, text)."""
+    told = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            told[conv_id].append((turn is not None, turn or 0, role, digest, text))
+    for turns in told.values():
+        turns.sort()
+    whole = {}
+    for conv_id, turns in told.items():
+        h = zlib.crc32(str(conv_id).encode()) % 9
+        base = conv_id - int(math.fmod(conv_id, 5))
+        whole[conv_id] = tuple((t[2], t[4]) for t in told.get(base, [])[:h] + turns[h:])
+    members, children = defaultdict(list), defaultdict(set)
+    for conv_id, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(conv_id)
+            if d:
+                children[turns[: d - 1]].add(turns[:d])
+    leaves, saved = Counter(), Counter()
+    for node, own in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += (len(own) - 1) * len(node[-1][1].encode()) if node else 0
+    out = []
+    for node, own in members.items():
+        ends = ",".join(str(c) for c in sorted(own) if whole[c] == node)
+        parent = min(members[node[:-1]]) if node else None
+        sums = (len(own), len(children[node]) if node in children else 0, leaves[node], saved[node])
+        out.append((min(own), len(node), parent, *sums, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def permutation_ranks(elements, lanes, draw):
+    """Each lane's least rank, by the plain definition: a whole permutation for every element."""
+    least = [math.inf] * lanes
+    for e in elements:
+        order = list(range(lanes))
+        for j in range(lanes):
+            k, r = draw(e, j)
+            order[j], order[k] = order[k], order[j]
+            least[order[j]] = min(least[order[j]], j + r)
+    return least

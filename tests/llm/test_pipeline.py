@@ -71,5 +71,5 @@ def test_the_registered_names():
     import __spark_entry__ as entry_points
 
     names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()

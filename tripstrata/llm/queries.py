@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripstrata.llm import sql
 from tripstrata.llm.bpe import encode_documents
 from tripstrata.llm.class_lm import score_documents
 from tripstrata.llm.decontaminate import find_passages
 from tripstrata.llm.jaccard import jaccard_components
 from tripstrata.llm.language import predict_language
+from tripstrata.llm.minhash import near_copies
+from tripstrata.llm.prefix_trie import shared_prefixes
 from tripstrata.llm.quality_model import score_quality
 from tripstrata.llm.repetition import repetition_rules
 from tripstrata.llm.secrets import secret_digests
 from tripstrata.llm.sharding import with_shards
+from tripstrata.llm.spelling import spelling_forms
 from tripstrata.llm.token_blocks import token_files_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +82,18 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(documents(spark, sf_dir))
+
+
+def op12_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_prefixes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_encode": op1_encode,
     "op2_decontaminate": op2_decontaminate,
@@ -89,10 +105,17 @@ QUERIES: dict[str, Query] = {
     "op8_repetition": op8_repetition,
     "op9_token_files": op9_token_files,
     "op10_class_lm": op10_class_lm,
+    "op11_spelling": op11_spelling,
+    "op12_near_copies": op12_near_copies,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _KEY = "CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)"
 ORACLES: dict[str, str] = {
+    "op7_jaccard": sql.similar(5, 80, "component_id"),
+    "op11_spelling": sql.OP11,
+    "op12_near_copies": sql.similar(2, 80, "component_id, doc_id = component_id AS kept"),
+    "op13_prefix_trie": sql.OP13,
     # A document's bucket is the shallowest one around it that needs no split.
     "op6_sharding": f"""
 WITH keyed AS (
