@@ -153,6 +153,12 @@ def revenue_per_hour_type(spark, sf_dir):
     return rounded(revenue_by_hour_type(_revenue(spark, sf_dir)), "revenue")
 
 
+@check("SELECT * FROM raw_exact_revenue", uses=("raw_exact_revenue",))
+def revenue_exact(spark, sf_dir):
+    """Not rounded: sums are exact, whatever the order of rows."""
+    return _revenue(spark, sf_dir)
+
+
 @check("SELECT * FROM raw_durations", uses=("raw_durations",))
 def duration_statistics(spark, sf_dir):
     return duration_stats(fx.trips(spark, sf_dir))

@@ -18,6 +18,7 @@ from tripstrata.session import scratch_dir
 from tripstrata.sources import in_months, overwrite_months, read_table
 
 
+DURATIONS = tuple(f"{name}_duration_min" for name in ("avg", "median", "p90", "min", "max"))
 _REFRESHED: dict[tuple[str, str], Layers] = {}
 
 
@@ -90,6 +91,52 @@ def refresh_then_add_month(spark, sf_dir):
     return read_table(spark, f"{layers.gold}.{UNIFIED}")
 
 
+_SUMMARY = "{} AS summary, trip_type, {} AS zone, {} AS dow, {} AS hour, trip_count, {} AS amounts"
+
+
+@check(
+    f"""
+    SELECT {_SUMMARY.format("'demand'", "PULocationID", "pickup_dow", "pickup_hour", "CAST([] AS DOUBLE[])")}
+    FROM demand
+    UNION ALL SELECT {_SUMMARY.format("'revenue'", "PULocationID", "CAST(NULL AS INTEGER)", "pickup_hour",
+      "[total_fare, total_tips, total_revenue]")} FROM exact_revenue
+    UNION ALL SELECT {_SUMMARY.format("'durations'", "CAST(NULL AS INTEGER)", "CAST(NULL AS INTEGER)",
+      "CAST(NULL AS INTEGER)", "[avg_duration_min, median_duration_min, p90_duration_min, min_duration_min, "
+      "max_duration_min]")} FROM durations
+    """,
+    uses=("demand", "exact_revenue", "durations"),
+)
+def refresh_month_summaries(spark, sf_dir):
+    """All summaries after a month was taken out of a raw table and put back; unrounded sums included."""
+    layers = new_refresh(spark, sf_dir)
+    table, months = f"{layers.bronze}.yellow", [(1995, 3), (2024, 1), (2024, 2)]
+    path = scratch_dir(spark, "month")
+    raw = read_table(spark, table)
+    raw.where(in_months(months)).write.parquet(path)
+    for rows in (raw.limit(0), spark.read.schema(raw.schema).parquet(path)):
+        overwrite_months(rows, table, months)
+        refresh_months(spark, layers, months, fx.SPECS.values())
+    shown = {
+        DEMAND: ("demand", "PULocationID", "pickup_dow", "pickup_hour", ()),
+        REVENUE: ("revenue", "PULocationID", None, "pickup_hour", MONEY),
+        DURATION: ("durations", None, None, None, DURATIONS),
+    }
+    frames = [
+        read_table(spark, f"{layers.gold}.{name}").select(
+            F.lit(summary).alias("summary"),
+            "trip_type",
+            *[
+                (F.col(c) if c else F.lit(None).cast("int")).alias(alias)
+                for c, alias in ((zone, "zone"), (dow, "dow"), (hour, "hour"))
+            ],
+            "trip_count",
+            F.array(*amounts).cast("array<double>").alias("amounts"),
+        )
+        for name, (summary, zone, dow, hour, amounts) in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @check("SELECT * FROM trips", uses=("trips",))
 def refresh_in_passes(spark, sf_dir):
     """Clean tables built in several passes over months, under the settings of a cluster."""

@@ -124,6 +124,17 @@ def _subqueries() -> dict[str, str]:
             f"FROM {label}_{stage} GROUP BY ALL"
             for label, (fare, tips, total) in FARES.items()
         )
+    for name, stage in (("raw_exact_revenue", "bronze"), ("exact_revenue", "clean")):
+        exact = "sum(CAST({} AS DECIMAL(18, 4)))".format
+        parts[name] = " UNION ALL ".join(
+            f"SELECT '{label}' AS trip_type, PULocationID, "
+            f"CAST(hour({PICKUP[label]}) AS INTEGER) AS pickup_hour, CAST({exact(fare)} AS DOUBLE) AS total_fare, "
+            f"CAST({exact(tips)} AS DOUBLE) AS total_tips, "
+            f"CAST({exact('total_amount') if label in ('yellow', 'green') else exact(fare) + ' + ' + exact(tips)} "
+            "AS DOUBLE) AS total_revenue, count(*) AS trip_count "
+            f"FROM {label}_{stage} GROUP BY ALL"
+            for label, (fare, tips, _) in FARES.items()
+        )
     for name, source in (("raw_durations", "raw_trips"), ("durations", "trips")):
         minutes = "ROUND({} / CAST(60 AS DOUBLE), 2)".format
         parts[name] = (

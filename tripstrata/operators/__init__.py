@@ -1,11 +1,17 @@
 from tripstrata.operators.audit import expected_months, latest_month, loaded_months, missing_partitions
 from tripstrata.operators.dedup import dedup_first, dedup_report
 from tripstrata.operators.marts import (
+    demand_parts,
     demand_patterns,
     duration_histogram,
+    duration_parts,
     duration_stats,
+    merge_demand,
+    merge_durations,
+    merge_revenue,
     revenue,
     revenue_by_zone_hour,
+    revenue_parts,
 )
 from tripstrata.operators.quality import apply_rules, route, rule_alerts, rule_report, split
 from tripstrata.operators.reports import (
@@ -34,9 +40,11 @@ __all__ = [
     "demand_by_hour",
     "demand_by_hour_type",
     "demand_by_zone",
+    "demand_parts",
     "demand_patterns",
     "distinct_values",
     "duration_histogram",
+    "duration_parts",
     "duration_stats",
     "duration_summary",
     "expected_months",
@@ -45,6 +53,9 @@ __all__ = [
     "label_zones",
     "latest_month",
     "loaded_months",
+    "merge_demand",
+    "merge_durations",
+    "merge_revenue",
     "missing_partitions",
     "monthly_counts",
     "narrow",
@@ -54,6 +65,7 @@ __all__ = [
     "revenue_by_hour_type",
     "revenue_by_type",
     "revenue_by_zone_hour",
+    "revenue_parts",
     "route",
     "rule_alerts",
     "rule_report",

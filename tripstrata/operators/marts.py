@@ -8,8 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from tripstrata.functions.columns import col, require_column
+from tripstrata.functions.columns import col, find_column, require_column
 from tripstrata.functions.times import minutes_between, seconds_between
 from tripstrata.names import LABEL
 from tripstrata.spec import DatasetSpec
@@ -17,16 +18,50 @@ from tripstrata.spec import DatasetSpec
 PERCENTILES = {"median_duration_min": Decimal("0.5"), "p90_duration_min": Decimal("0.9")}
 
 
+# Amounts are summed as decimals with four places, up to 10^14 each and 10^24 together.
+AMOUNT = "decimal(18,4)"
+MONTH = ("pickup_year", "pickup_month")
+
+
 def demand_patterns(trips: DataFrame) -> DataFrame:
     """Trips per type, pickup zone, day of week (1 = Sunday) and hour."""
+    return _demand(trips)
+
+
+def demand_parts(trips: DataFrame) -> DataFrame:
+    """``demand_patterns`` of each month; the parts add up to those of all months."""
+    return _demand(trips, *MONTH)
+
+
+def merge_demand(parts: DataFrame) -> DataFrame:
+    keys = (LABEL, "PULocationID", "pickup_dow", "pickup_hour")
+    return parts.groupBy(*keys).agg(F.sum("trip_count").alias("trip_count"))
+
+
+def _demand(trips: DataFrame, *month: str) -> DataFrame:
     return trips.groupBy(
         LABEL,
         "PULocationID",
         F.dayofweek("pickup_datetime").alias("pickup_dow"),
         F.hour("pickup_datetime").alias("pickup_hour"),
+        *month,
     ).agg(F.count(F.lit(1)).alias("trip_count"))
 
 
+def amount(df: DataFrame, name: str) -> Column:
+    """A money column as an exact decimal, so that sums do not depend on the order of rows.
+
+    NaN, which pandas writes for a missing number, is NULL. Further places are rounded. An amount of
+    10^14 or more, or an infinite one, is an error when it is read, whatever the session's settings.
+    """
+    value = col(name)
+    if isinstance(df.schema[find_column(df, equals_ci=name)].dataType, (FloatType, DoubleType)):
+        value = F.when(~F.isnan(value), value)
+    exact = value.try_cast(AMOUNT)
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is out of range: "), value.cast("string")))
+    return F.when(value.isNull() | exact.isNotNull(), exact).otherwise(wrong.cast(AMOUNT))
+
+
 def revenue_by_zone_hour(
     df: DataFrame, label: str, ts: str, zone: str, fare: str, tips: str, total: str | None = None
 ) -> DataFrame:
@@ -34,19 +69,62 @@ def revenue_by_zone_hour(
 
     Without a reported total, revenue is the sum of fares plus the sum of tips, and NULL when a
     group has no fare or no tip at all. The label is attached after grouping, so it is neither
-    hashed nor shuffled.
+    hashed nor shuffled. Sums are exact (see ``amount``) and become doubles at the very end.
     """
-    fares, tip_sum = F.sum(col(fare)), F.sum(col(tips))
-    revenue = F.sum(col(total)) if total else fares + tip_sum
+    return _as_revenue(_revenue_sums(df, label, ts, zone, fare, tips, total))
+
+
+def _revenue_sums(
+    df: DataFrame,
+    label: str,
+    ts: str,
+    zone: str,
+    fare: str,
+    tips: str,
+    total: str | None,
+    month: tuple[str, ...] = (),
+) -> DataFrame:
+    """Exact sums that can be added to others; ``total`` is NULL for sources that report none."""
+    reported = F.sum(amount(df, total)) if total else F.lit(None).cast("decimal(28,4)")
     grouped = df.groupBy(
-        col(zone).cast("int").alias("PULocationID"), F.hour(col(ts)).alias("pickup_hour")
+        col(zone).cast("int").alias("PULocationID"),
+        F.hour(col(ts)).alias("pickup_hour"),
+        *[col(name) for name in month],
     ).agg(
-        fares.alias("total_fare"),
-        tip_sum.alias("total_tips"),
-        revenue.alias("total_revenue"),
+        F.sum(amount(df, fare)).alias("fare"),
+        F.sum(amount(df, tips)).alias("tips"),
+        reported.alias("total"),
         F.count(F.lit(1)).alias("trip_count"),
     )
-    return grouped.select(F.lit(label).alias(LABEL), *grouped.columns)
+    return grouped.select(
+        F.lit(label).alias(LABEL), F.lit(total is not None).alias("has_total"), *grouped.columns
+    )
+
+
+def _as_revenue(sums: DataFrame) -> DataFrame:
+    earned = F.when(F.col("has_total"), F.col("total")).otherwise(F.col("fare") + F.col("tips"))
+    return sums.select(
+        LABEL,
+        "PULocationID",
+        "pickup_hour",
+        F.col("fare").cast("double").alias("total_fare"),
+        F.col("tips").cast("double").alias("total_tips"),
+        earned.cast("double").alias("total_revenue"),
+        "trip_count",
+    )
+
+
+def revenue_parts(
+    sources: Mapping[str, DataFrame], specs: Mapping[str, DatasetSpec]
+) -> DataFrame:
+    """Exact sums per type, zone, hour and month, to be put together by ``merge_revenue``."""
+    return _each_source(sources, specs, _revenue_sums, MONTH)
+
+
+def merge_revenue(parts: DataFrame) -> DataFrame:
+    keys = (LABEL, "has_total", "PULocationID", "pickup_hour")
+    names = ("fare", "tips", "total", "trip_count")
+    return _as_revenue(parts.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names]))
 
 
 def revenue(
@@ -54,20 +132,25 @@ def revenue(
 ) -> DataFrame:
     """Revenue per type, zone and hour. Each source is summed up first and the small results are
     stacked; sources without fares have no rows."""
+    return _as_revenue(_each_source(sources, specs, _revenue_sums, ()))
+
+
+def _each_source(sources, specs, summed, month: tuple[str, ...]) -> DataFrame:
     frames = []
     for label, df in sources.items():
         spec = specs[label]
         if spec.money is None:
             continue
         frames.append(
-            revenue_by_zone_hour(
+            summed(
                 df,
                 label,
-                ts=require_column(df, spec.pickup, "pickup time"),
-                zone=require_column(df, spec.pickup_zone, "pickup zone"),
-                fare=spec.money.fare,
-                tips=spec.money.tips,
-                total=spec.money.total,
+                require_column(df, spec.pickup, "pickup time"),
+                require_column(df, spec.pickup_zone, "pickup zone"),
+                spec.money.fare,
+                spec.money.tips,
+                spec.money.total,
+                month,
             )
         )
     if not frames:
@@ -88,9 +171,18 @@ def duration_stats(trips: DataFrame, accuracy: int | None = None) -> DataFrame:
     return _exact_stats(duration_histogram(trips))
 
 
-def duration_histogram(trips: DataFrame) -> DataFrame:
+def duration_histogram(trips: DataFrame, month: tuple[str, ...] = ()) -> DataFrame:
     seconds = seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
-    return trips.groupBy(LABEL, seconds.alias("seconds")).agg(F.count(F.lit(1)).alias("trips"))
+    return trips.groupBy(LABEL, seconds.alias("seconds"), *month).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def duration_parts(trips: DataFrame) -> DataFrame:
+    """Trips per type, whole second and month, to be put together by ``merge_durations``."""
+    return duration_histogram(trips, MONTH)
+
+
+def merge_durations(parts: DataFrame) -> DataFrame:
+    return _exact_stats(parts.groupBy(LABEL, "seconds").agg(F.sum("trips").alias("trips")))
 
 
 def _exact_stats(histogram: DataFrame) -> DataFrame:
@@ -99,12 +191,30 @@ def _exact_stats(histogram: DataFrame) -> DataFrame:
     Counts per hour tell which hour holds each percentile and its rank in there; then only the seconds
     of that hour are ranked. So what comes together in one place is a row per hour that the durations
     span, and a row per second of one hour, also where junk dates give durations of years.
+
+    Both steps need the histogram. Neither filters it before it is shuffled, and hours are compared
+    with NULL as a value, from which no filter follows either: so the two have the same exchange, Spark
+    runs it once, and the trips are scanned once.
     """
-    known = histogram.where("seconds IS NOT NULL").withColumn(
+    by_hour = histogram.withColumn(
         "hour", F.floor(F.col("seconds") / F.lit(3600)).cast("long")
     )
-    hours = known.groupBy(LABEL, "hour").agg(F.sum("trips").alias("n"))
-    by_type = hours.groupBy(LABEL).agg(_counts("hour", "n"), F.sum("n").alias("known"))
+    product = (F.col("seconds") * F.col("trips")).cast("decimal(38,0)")
+    hours = by_hour.groupBy(LABEL, "hour").agg(
+        F.sum("trips").alias("n"),
+        F.min("seconds").alias("least"),
+        F.max("seconds").alias("most"),
+        F.sum(product).alias("total"),
+    )
+    known = F.when(F.col("hour").isNotNull(), F.col("n"))
+    by_type = hours.groupBy(LABEL).agg(
+        _counts("hour", "n", F.col("hour").isNotNull()),
+        F.sum(known).alias("known"),
+        F.sum("n").alias("trip_count"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.sum("total").alias("total"),
+    )
     ranks = [
         F.struct(
             F.lit(name).alias("name"),
@@ -112,40 +222,42 @@ def _exact_stats(histogram: DataFrame) -> DataFrame:
         )
         for name, share in PERCENTILES.items()
     ]
+    totals = ("trip_count", "known", "least", "most", "total")
     wanted = (
-        by_type.select(LABEL, "counts", F.explode(F.array(*ranks)).alias("p"))
-        .select(LABEL, "p.name", "p.rank", _locate(F.col("counts"), F.col("p.rank")).alias("at"))
-        .select(LABEL, "name", F.col("at.value").alias("hour"), (F.col("rank") - F.col("at.before")).alias("rank"))
+        by_type.select(LABEL, *totals, "counts", F.explode(F.array(*ranks)).alias("p"))
+        .select(LABEL, *totals, "p.name", "p.rank", _locate(F.col("counts"), F.col("p.rank")).alias("at"))
+        .select(
+            F.col(LABEL).alias("type"),
+            *totals,
+            "name",
+            F.col("at.value").alias("at_hour"),
+            (F.col("rank") - F.col("at.before")).alias("rank"),
+        )
     )
+    same = by_hour[LABEL].eqNullSafe(wanted["type"]) & by_hour["hour"].eqNullSafe(wanted["at_hour"])
     picked = (
-        known.join(wanted, [LABEL, "hour"])
-        .groupBy(LABEL, "name", "rank")
-        .agg(_counts("seconds", "trips"))
-        .withColumn("seconds", _locate(F.col("counts"), F.col("rank"))["value"])
-        .groupBy(LABEL)
-        .agg(*[F.max(F.when(F.col("name") == name, F.col("seconds"))).alias(name) for name in PERCENTILES])
-    )
-    counted = F.when(F.col("seconds").isNotNull(), F.col("trips")).otherwise(0)
-    mean = F.sum(F.col("seconds") * counted) / F.sum(counted)
-    totals = histogram.groupBy(LABEL).agg(
-        F.sum("trips").alias("trip_count"),
-        _minutes(mean).alias("avg_duration_min"),
-        _minutes(F.min("seconds")).alias("min_duration_min"),
-        _minutes(F.max("seconds")).alias("max_duration_min"),
+        by_hour.join(wanted, same)
+        .groupBy("type", "name", "rank", *totals)
+        .agg(_counts("seconds", "trips", F.col("seconds").isNotNull()))
+        .withColumn("at", _locate(F.col("counts"), F.col("rank"))["value"])
     )
-    return totals.join(picked, LABEL, "left").select(
-        LABEL,
-        "trip_count",
-        "avg_duration_min",
-        *[_minutes(F.col(name)).alias(name) for name in PERCENTILES],
-        "min_duration_min",
-        "max_duration_min",
+    return (
+        picked.groupBy(F.col("type").alias(LABEL), *totals)
+        .agg(*[F.max(F.when(F.col("name") == name, F.col("at"))).alias(name) for name in PERCENTILES])
+        .select(
+            LABEL,
+            "trip_count",
+            _minutes(F.col("total").cast("double") / F.col("known")).alias("avg_duration_min"),
+            *[_minutes(F.col(name)).alias(name) for name in PERCENTILES],
+            _minutes(F.col("least")).alias("min_duration_min"),
+            _minutes(F.col("most")).alias("max_duration_min"),
+        )
     )
 
 
-def _counts(value: str, n: str) -> Column:
+def _counts(value: str, n: str, use: Column) -> Column:
     pair = F.struct(F.col(value).cast("long").alias("value"), F.col(n).cast("long").alias("n"))
-    return F.sort_array(F.collect_list(pair)).alias("counts")
+    return F.sort_array(F.collect_list(F.when(use, pair))).alias("counts")
 
 
 def _locate(counts: Column, rank: Column) -> Column:

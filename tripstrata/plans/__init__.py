@@ -5,6 +5,8 @@ from tripstrata.plans.gold import (
     build_durations,
     build_revenue,
     build_unified,
+    merge_summary,
+    replace_summary_months,
     replace_unified_months,
 )
 from tripstrata.plans.pipeline import Layers, PipelineCounts, refresh_months, run_pipeline
@@ -34,6 +36,8 @@ __all__ = [
     "load_bronze",
     "rebuild_months",
     "refresh_months",
+    "merge_summary",
+    "replace_summary_months",
     "replace_unified_months",
     "run_pipeline",
     "silver_report",

@@ -20,6 +20,7 @@ from tripstrata.plans.gold import (
     build_durations,
     build_revenue,
     build_unified,
+    replace_summary_months,
     replace_unified_months,
 )
 from tripstrata.plans.silver import SilverCounts, build_silver, dedup_keys, rebuild_months
@@ -137,8 +138,9 @@ def refresh_months(
 ) -> None:
     """Bring clean, stacked and summary tables up to date after raw rows of some months changed.
 
-    Only those months are deduplicated, checked and stacked again. The summaries have no month, so
-    they are made anew, from the narrow stacked trips and the fares of the clean tables.
+    Only those months are deduplicated, checked, stacked and summed up again. The summaries are then
+    put together from their monthly parts, without the trips of other months. ``accuracy`` asks for
+    percentiles by a sketch, which is made from all stacked trips.
     """
     months = list(months)
     by_label = {
@@ -151,7 +153,6 @@ def refresh_months(
         rebuild_months(spark, table, spec, layers.clean(label), months, null_policy)
     clean = {label: layers.clean(label) for label in by_label}
     replace_unified_months(spark, clean, by_label, layers.gold, months)
-    if any(spec.money for spec in by_label.values()):
-        build_revenue(spark, clean, by_label, layers.gold)
-    build_demand(spark, layers.gold)
-    build_durations(spark, layers.gold, accuracy)
+    replace_summary_months(spark, clean, by_label, layers.gold, months)
+    if accuracy is not None:
+        build_durations(spark, layers.gold, accuracy)
