@@ -25,6 +25,7 @@ from tripstrata.sources import (
     ensure_layers,
     in_months,
     overwrite_months,
+    load_new_files,
     read_dataset,
     read_drifting,
     read_new_files,
@@ -176,6 +177,59 @@ def new_files_only(spark, sf_dir):
     return read_new_files(spark, folder, loaded, orders.schema).drop("_source_file")
 
 
+@check("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+def drifting_many_files(spark, sf_dir):
+    """A folder of 210 files in three types of one column; all footers are read in one job."""
+    folder = scratch_dir(spark, "drift")
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    for k, kind in enumerate(("int", "double", "bigint")):
+        part = lines.where(F.pmod(F.col("l_orderkey"), F.lit(3)) == k).repartition(70)
+        part.withColumn("l_partkey", F.col("l_partkey").cast(kind)).write.mode("append").parquet(folder)
+    return read_drifting(spark, [folder], lines.schema).drop("_source_file")
+
+
+@check("SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders")
+def load_by_ledger(spark, sf_dir):
+    """A load for each arrival, in folders whose names look like patterns; a further load finds nothing."""
+    folder, database = scratch_dir(spark, "by ledger"), _database(spark)
+    table, log = f"{database}.orders", f"{database}.loads"
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    spec = FHV.with_(schema=None, pickup=named("o_orderdate"))
+    for status, name in (("F", "a [1]"), ("O", "100% {b,c}"), ("P", "d*?")):
+        arrived = orders.where(F.col("o_orderstatus") == status)
+        arrived.write.parquet(f"{folder}/{name}")
+        if load_new_files(spark, folder, spec, table, log) != arrived.count():
+            raise ValueError("a load must bring the rows of the new files")
+    if load_new_files(spark, folder, spec, table, log):
+        raise ValueError("files were loaded again")
+    return read_table(spark, table).select(*orders.columns)
+
+
+@check("""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority,
+      o_orderdate FROM orders
+""")
+def load_evolving_files(spark, sf_dir):
+    """Arrivals with a wider type, a further column and whole numbers as ``double``, the last one loaded
+    again after its load broke off."""
+    folder, database = scratch_dir(spark, "evolving"), _database(spark)
+    table, log = f"{database}.orders", f"{database}.loads"
+    orders = fx.table(spark, sf_dir, "orders")
+    spec = FHV.with_(schema=None, pickup=named("o_orderdate"))
+    arrivals = (("F", "int", ()), ("O", "bigint", ("o_orderpriority",)), ("P", "double", ()))
+    for status, kind, extra in arrivals:
+        arrived = orders.where(F.col("o_orderstatus") == status)
+        keys = [F.col(name).cast(kind).alias(name) for name in ("o_orderkey", "o_custkey")]
+        arrived.select(*keys, *extra, "o_orderdate").write.mode("append").parquet(f"{folder}/{status}")
+        load_new_files(spark, folder, spec, table, log)
+    # As if the last load had stopped before it was recorded as loaded.
+    done = scratch_dir(spark, "log")
+    read_table(spark, log).where("state = 'started' OR _source_file NOT LIKE '%/P/%'").write.parquet(done)
+    spark.read.parquet(done).write.insertInto(log, overwrite=True)
+    load_new_files(spark, folder, spec, table, log)
+    return read_table(spark, table).select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+
+
 @check(
     """
     SELECT dispatching_base_num, pickup_datetime, "dropOff_datetime", "PUlocationID",

@@ -1,5 +1,8 @@
 from tripstrata.sources.files import new_files, read_new_files, source_files
+from tripstrata.sources.ledger import ensure_ledger, load_new_files, pending_files, read_files
 from tripstrata.sources.scan import (
+    footers,
+    listed_files,
     read_dataset,
     read_drifting,
     with_ingest_metadata,
@@ -21,11 +24,17 @@ from tripstrata.sources.tables import (
 
 __all__ = [
     "ensure_layers",
+    "ensure_ledger",
+    "footers",
     "in_months",
+    "listed_files",
+    "load_new_files",
     "new_files",
     "overwrite_months",
+    "pending_files",
     "read_dataset",
     "read_drifting",
+    "read_files",
     "read_new_files",
     "read_table",
     "replace_files",

@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.names import SOURCE_FILE
-from tripstrata.sources.scan import Schema, read_dataset, to_struct, with_source_file
+from tripstrata.sources.scan import (
+    Schema,
+    listed_files,
+    literal_path,
+    read_dataset,
+    to_struct,
+    with_source_file,
+)
 
 
 def source_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """One row per file. Only the listing is used: the content column is never selected, so no
-    file is opened."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    return listing.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+    """One row per file, from the listing alone."""
+    return listed_files(spark, path, pattern).select(SOURCE_FILE)
 
 
 def new_files(spark: SparkSession, path: str, loaded: DataFrame) -> DataFrame:
@@ -36,9 +34,11 @@ def new_files(spark: SparkSession, path: str, loaded: DataFrame) -> DataFrame:
 def read_new_files(
     spark: SparkSession, path: str, loaded: DataFrame, schema: Schema = None
 ) -> DataFrame:
-    """Scan only the files not loaded yet. The driver sees file names, as it does in any scan."""
-    # Spark reports paths encoded as in a URL and takes them plain.
-    names = [unquote(row[0]) for row in new_files(spark, path, loaded).collect()]
+    """Scan only the files not loaded yet. The driver sees file names, as it does in any scan.
+
+    ``load_new_files`` finds them in a ledger instead, without a look at loaded rows or a list of names.
+    """
+    names = [literal_path(row[0]) for row in new_files(spark, path, loaded).collect()]
     if names:
         return with_source_file(read_dataset(spark, names, schema))
     struct = to_struct(schema)

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+import re
+from collections.abc import Iterator
 from functools import reduce
-from urllib.parse import unquote
+from string import printable
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from tripstrata.functions.columns import col, find_column
 from tripstrata.names import INGEST_TIME, SOURCE_FILE
 from tripstrata.spec import DatasetSpec
 
+# Fixed value: where Spark keeps the schema in a parquet footer.
+SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 Schema = DatasetSpec | T.StructType | str | None
 
 
@@ -43,7 +50,8 @@ def read_drifting(spark: SparkSession, units: list[str], schema: Schema = None)
 
     ``units`` are files or folders. When Spark can merge all footers, this is one plain scan.
     Otherwise the files are grouped by the schema in their footers, and each group is scanned under its
-    own types, cast to the target and stacked: one scan per schema, however many files. Without a
+    own types, cast to the target and stacked: one scan per schema and one job for all footers, however many
+    files. Without a
     declared schema the target type is the widest one seen. A fraction that the target type cannot
     hold is an error when it is read.
     """
@@ -62,37 +70,73 @@ def read_drifting(spark: SparkSession, units: list[str], schema: Schema = None)
 
 
 def _by_schema(spark: SparkSession, units: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """The units with equal schemas; a folder of mixed files is taken apart into its files."""
-
-    def schema_of(path: str) -> T.StructType | None:
-        try:
-            return spark.read.option("mergeSchema", "true").parquet(path).schema
-        except (Py4JJavaError, PySparkException) as error:
-            if "CANNOT_MERGE_SCHEMAS" not in str(error):
-                raise
-            return None
-
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        found = list(zip(units, pool.map(schema_of, units), strict=True))
-        mixed = [path for path, schema in found if schema is None]
-        files = [name for path in mixed for name in _files(spark, path)]
-        found = [x for x in found if x[1] is not None]
-        found += list(zip(files, pool.map(schema_of, files), strict=True))
-    for path, schema in found:
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    return list(groups.values())
-
-
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    """The parquet files of a folder. Only the listing is used, no file is opened."""
+    """The files of all units by the schemas in their footers, which tasks read."""
+    files = reduce(DataFrame.unionByName, [listed_files(spark, unit) for unit in units])
+    grouped = (
+        footers(files.distinct())
+        .groupBy("schema")
+        .agg(F.sort_array(F.collect_list(SOURCE_FILE)).alias("files"))
+        .collect()
+    )
+    return [
+        (T.StructType.fromJson(json.loads(row["schema"])), [literal_path(x) for x in row["files"]])
+        for row in sorted(grouped, key=lambda row: row["files"][0])
+    ]
+
+
+def listed_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """``_source_file, size, modified`` of every file. Only the listing is used: the content column is never
+    selected, so no file is opened."""
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .load(folder)
+        .load(path)
+    )
+    return listing.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
-    return sorted(unquote(row[0]) for row in listing.select(F.col("_metadata.file_path")).collect())
+
+
+def footers(files: DataFrame, files_per_task: int = 64) -> DataFrame:
+    """``files`` with the ``schema`` (JSON) and ``row_count`` that each file's footer states.
+
+    Footers are read in tasks, ``files_per_task`` or so in each, in one job however many files there
+    are. Executors open the files by pyarrow, which knows local, HDFS, S3 and GCS paths.
+    """
+    tasks = max(1, -(-files.count() // files_per_task))
+    spread = files.repartition(tasks, SOURCE_FILE)
+    stated = [T.StructField("schema", T.StringType()), T.StructField("row_count", T.LongType())]
+    schema = T.StructType(files.schema.fields + stated)
+    return spread.mapInArrow(_footer_rows, schema)
+
+
+def _footer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    for batch in batches:
+        schemas, counts = [], []
+        for name in batch.column(SOURCE_FILE).to_pylist():
+            files, path = pyarrow.fs.FileSystem.from_uri(quote(name, safe=printable))
+            found = pyarrow.parquet.read_metadata(path, filesystem=files)
+            stated = (found.metadata or {}).get(SPARK_SCHEMA)
+            # Files that Spark did not write state their types in parquet's own terms alone.
+            own = stated.decode() if stated else from_arrow_schema(
+                found.schema.to_arrow_schema(), prefer_timestamp_ntz=True
+            ).json()
+            schemas.append(own)
+            counts.append(found.num_rows)
+        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+        columns |= {"schema": pa.array(schemas, pa.string()), "row_count": pa.array(counts, pa.int64())}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def literal_path(reported: str) -> str:
+    """The path of a file as Spark reports it, to be read again: decoded, and no character a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(reported))
 
 
 def _merged_scan(spark: SparkSession, units: list[str]) -> DataFrame | None:
