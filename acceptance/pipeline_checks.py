@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 from acceptance import fixtures as fx
 from acceptance.mart_checks import MONEY, rounded
 from acceptance.registry import FLAGS, check
-from tripstrata.operators import monthly_counts
+from tripstrata.operators import missing_partitions, monthly_counts
 from tripstrata.plans import Layers, dashboard, refresh_months, run_pipeline, silver_report
 from tripstrata.plans.gold import DEMAND, DURATION, REVENUE, UNIFIED
 from tripstrata.session import scratch_dir
-from tripstrata.sources import in_months, overwrite_months, read_table
+from tripstrata.sources import in_months, overwrite_months, read_table, stored_months
 
 
 DURATIONS = tuple(f"{name}_duration_min" for name in ("avg", "median", "p90", "min", "max"))
@@ -192,6 +193,54 @@ def refresh_rule_report(spark, sf_dir):
     return silver_report(spark, layers.clean("fhv"), fx.SPECS["fhv"])
 
 
+@check(_report_sql("yellow"), uses=("yellow_checked",))
+def refresh_month_rule_report(spark, sf_dir):
+    """The report from counters, after one month was checked again and another lost its counters."""
+    layers = new_refresh(spark, sf_dir)
+    clean, months = layers.clean("yellow"), [(2024, 1)]
+    refresh_months(spark, layers, months, fx.SPECS.values())
+    counters = f"{clean}_rule_counts"
+    overwrite_months(read_table(spark, counters).limit(0), counters, [(2024, 5)])
+    return silver_report(spark, clean, fx.SPECS["yellow"])
+
+
+_MONTHS = "SELECT DISTINCT trip_type, pickup_year, pickup_month FROM"
+
+
+@check(
+    f"""
+    SELECT 'raw' AS layer, * FROM ({_MONTHS} raw_trips)
+    UNION ALL SELECT 'clean', * FROM ({_MONTHS} trips)
+    """,
+    uses=("raw_trips", "trips"),
+)
+def stored_months_by_layer(spark, sf_dir):
+    """Months of the raw and the clean tables, from the catalog alone."""
+    layers = full_refresh(spark, sf_dir)
+    raw = stored_months(spark, {label: f"{layers.bronze}.{label}" for label in fx.LABELS})
+    clean = stored_months(spark, {label: layers.clean(label) for label in fx.LABELS})
+    named = [df.select(F.lit(x).alias("layer"), "*") for x, df in (("raw", raw), ("clean", clean))]
+    return reduce(DataFrame.unionByName, named)
+
+
+@check(
+    """
+    SELECT label AS trip_type, CAST(year(month) AS INTEGER) AS pickup_year,
+      CAST(month(month) AS INTEGER) AS pickup_month
+    FROM (SELECT unnest(['yellow', 'green', 'fhvhv', 'fhv']) AS label)
+    CROSS JOIN generate_series(DATE '2023-03-01', DATE '2024-06-01', INTERVAL 1 MONTH) g(month)
+    WHERE NOT EXISTS (
+      SELECT 1 FROM trips
+      WHERE trip_type = label AND pickup_year = year(month) AND pickup_month = month(month))
+    """,
+    uses=("trips",),
+)
+def missing_stored_months(spark, sf_dir):
+    layers = full_refresh(spark, sf_dir)
+    found = stored_months(spark, {label: layers.clean(label) for label in fx.LABELS})
+    return missing_partitions(found, fx.LABELS, date(2023, 3, 1), 16)
+
+
 @check(
     "SELECT PULocationID, CAST(sum(trip_count) AS BIGINT) AS trip_count FROM demand "
     "GROUP BY PULocationID ORDER BY trip_count DESC, PULocationID LIMIT 10",

@@ -15,17 +15,20 @@ from tripstrata.operators import (
     demand_patterns,
     duration_parts,
     duration_stats,
+    latest_month,
+    loaded_months,
     merge_demand,
     merge_durations,
     merge_revenue,
     revenue,
     revenue_by_zone_hour,
     revenue_parts,
+    rule_report,
 )
-from tripstrata.plans import Layers, refresh_months, run_pipeline
+from tripstrata.plans import Layers, rebuild_months, refresh_months, run_pipeline, silver, silver_report
 from tripstrata.plans.gold import DEMAND, DURATION, REVENUE, UNIFIED, parts_of
 from tripstrata.session import scratch_dir
-from tripstrata.sources import in_months, overwrite_months, read_table
+from tripstrata.sources import in_months, overwrite_months, read_table, stored_months
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -160,3 +163,44 @@ def test_parts_are_small(spark, refreshed):
     parts = read_table(spark, f"{refreshed.gold}.{parts_of(DEMAND)}")
     assert parts.where(F.col("trip_count") < 1).isEmpty()
     assert {"pickup_year", "pickup_month"} <= set(parts.columns)
+
+
+def report(spark, layers, label="yellow"):
+    return silver_report(spark, layers.clean(label), fx.SPECS[label]).first().asDict()
+
+
+def test_rule_counters_follow_the_months(spark, refreshed, monkeypatch):
+    clean, months = refreshed.clean("yellow"), [(2024, 3)]
+    spec = fx.SPECS["yellow"]
+
+    def counted():
+        return rule_report(read_table(spark, f"{clean}_checked"), spec.rules).first().asDict()
+
+    assert report(spark, refreshed) == counted()
+    table = f"{refreshed.bronze}.yellow"
+    raw = read_table(spark, table)
+    thinned = raw.where(in_months(months)).where("PULocationID % 2 = 0")
+    overwrite_months(thinned, table, months)
+    rebuild_months(spark, table, spec, clean, months)
+    assert report(spark, refreshed) == counted()
+    plan = silver_report(spark, clean, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "is_valid_location" not in plan
+    # A refresh that breaks off before its counters are written leaves none behind for that month.
+    monkeypatch.setattr(silver, "_write_counters", lambda *args: 1 / 0)
+    overwrite_months(raw.where(in_months(months)).limit(5), table, months)
+    with pytest.raises(ZeroDivisionError):
+        rebuild_months(spark, table, spec, clean, months)
+    assert report(spark, refreshed) == counted()
+
+
+def test_months_from_the_catalog(spark, refreshed):
+    tables = {label: refreshed.clean(label) for label in fx.LABELS}
+    found = stored_months(spark, tables)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan parquet" not in plan
+    trips = read_table(spark, f"{refreshed.gold}.{UNIFIED}")
+    assert rows(found) == rows(loaded_months(trips))
+    newest = latest_month(found).first().latest_month
+    assert newest == latest_month(trips).first().latest_month
+    both = stored_months(spark, {"yellow": refreshed.clean("yellow")}, side=None)
+    assert both.count() >= found.where("trip_type = 'yellow'").count()

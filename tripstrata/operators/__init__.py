@@ -13,7 +13,15 @@ from tripstrata.operators.marts import (
     revenue_by_zone_hour,
     revenue_parts,
 )
-from tripstrata.operators.quality import apply_rules, route, rule_alerts, rule_report, split
+from tripstrata.operators.quality import (
+    apply_rules,
+    merge_rule_counters,
+    route,
+    rule_alerts,
+    rule_counters,
+    rule_report,
+    split,
+)
 from tripstrata.operators.reports import (
     demand_by_hour,
     demand_by_hour_type,
@@ -56,6 +64,7 @@ __all__ = [
     "merge_demand",
     "merge_durations",
     "merge_revenue",
+    "merge_rule_counters",
     "missing_partitions",
     "monthly_counts",
     "narrow",
@@ -68,6 +77,7 @@ __all__ = [
     "revenue_parts",
     "route",
     "rule_alerts",
+    "rule_counters",
     "rule_report",
     "split",
     "top_zones",

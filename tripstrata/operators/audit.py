@@ -13,8 +13,11 @@ from tripstrata.names import LABEL
 
 
 def loaded_months(df: DataFrame) -> DataFrame:
-    """Each type and month that has a row. On a table partitioned by month only the partition
-    columns are scanned, and each task reduces its rows before the shuffle."""
+    """Each type and month that has a row. Each task reduces its rows before the shuffle.
+
+    For stored tables, ``stored_months`` tells the same from the catalog, without a scan; its result
+    may be passed to all functions here.
+    """
     return df.select(LABEL, "pickup_year", "pickup_month").distinct()
 
 

@@ -96,12 +96,27 @@ def split(checked: DataFrame, null_policy: str = "quarantine") -> tuple[DataFram
 
 def rule_report(checked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row: total, and per rule how many rows fail it and for how many it is unknown."""
+    return checked.agg(*_rule_counts(rules))
+
+
+def rule_counters(checked: DataFrame, rules: Sequence[Rule], *by: str) -> DataFrame:
+    """The counts of ``rule_report`` for each value of ``by``; they add up to those of all rows."""
+    return checked.groupBy(*by).agg(*_rule_counts(rules))
+
+
+def merge_rule_counters(counters: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The report that the rows behind the counters would give."""
+    names = ["total"] + [f"{kind}_{rule.name}" for rule in rules for kind in ("bad", "unknown")]
+    return counters.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+
+
+def _rule_counts(rules: Sequence[Rule]) -> list[Column]:
     counts = [F.count(F.lit(1)).alias("total")]
     for rule in rules:
         flag = F.col(rule.flag)
         counts.append(F.count_if(~flag).alias(f"bad_{rule.name}"))
         counts.append(F.count_if(flag.isNull()).alias(f"unknown_{rule.name}"))
-    return checked.agg(*counts)
+    return counts
 
 
 def rule_alerts(report: DataFrame, rules: Sequence[Rule], max_failed_pct: float) -> DataFrame:

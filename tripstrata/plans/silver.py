@@ -6,14 +6,29 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripstrata.functions.columns import available_keys, col, find_column, match_column, require_column
 from tripstrata.functions.times import minutes_between, seconds_between
 from tripstrata.operators.dedup import dedup_first
-from tripstrata.operators.quality import apply_rules, route, rule_report
+from tripstrata.operators.quality import (
+    apply_rules,
+    merge_rule_counters,
+    route,
+    rule_counters,
+    rule_report,
+)
 from tripstrata.operators.reports import monthly_counts
 from tripstrata.plans.bronze import MONTH_COLUMNS
-from tripstrata.sources.tables import in_months, read_table, replace_split_months, write_split_passes
+from tripstrata.sources.tables import (
+    in_months,
+    overwrite_months,
+    read_table,
+    replace_split_months,
+    stored_months,
+    stored_version,
+    write_split_passes,
+)
 from tripstrata.spec import DatasetSpec
 
 
@@ -84,6 +99,8 @@ def build_silver(
         route(checked_frame(bronze.where(in_months(part)), spec), null_policy) for part in parts
     )
     written = write_split_passes(passes, clean, quarantine, MONTH_COLUMNS)
+    counted = rule_counters(read_table(spark, f"{clean}_checked"), spec.rules, *MONTH_COLUMNS)
+    _write_counters(counted, clean, "overwrite")
     clean_rows = read_table(spark, clean).count()
     return SilverCounts(
         bronze_rows=bronze_rows,
@@ -107,7 +124,12 @@ def rebuild_months(
     """
     months = list(months)
     bronze = read_table(spark, bronze_table).where(in_months(months))
-    return replace_split_months(route(checked_frame(bronze, spec), null_policy), clean, months)
+    # A month without counters is counted anew, one with old counters would be taken for up to date.
+    _forget_counters(spark, clean, months)
+    rows = replace_split_months(route(checked_frame(bronze, spec), null_policy), clean, months)
+    checked = read_table(spark, f"{clean}_checked").where(in_months(months))
+    _write_counters(rule_counters(checked, spec.rules, *MONTH_COLUMNS), clean, "append")
+    return rows
 
 
 def month_passes(
@@ -126,5 +148,44 @@ def month_passes(
 
 
 def silver_report(spark: SparkSession, clean: str, spec: DatasetSpec) -> DataFrame:
-    """Failures per rule over both halves of a split, read from the stored flag columns only."""
-    return rule_report(read_table(spark, f"{clean}_checked"), spec.rules)
+    """Failures per rule over both halves of a split, from the counters of each month.
+
+    Months without counters of the current version, as after a refresh that broke off, are counted
+    from their stored flag columns, and only those.
+    """
+    checked = read_table(spark, f"{clean}_checked")
+    if not spark.catalog.tableExists(_counters_of(clean)):
+        return rule_report(checked, spec.rules)
+    counters = _current_counters(spark, clean)
+    months = stored_months(spark, {spec.label: clean}, side=None).select(*MONTH_COLUMNS).distinct()
+    same = [months[c].eqNullSafe(counters[c]) for c in MONTH_COLUMNS]
+    missing = [tuple(row) for row in months.join(counters, same, "left_anti").collect()]
+    if missing:
+        late = rule_counters(checked.where(in_months(missing)), spec.rules, *MONTH_COLUMNS)
+        counters = counters.unionByName(late)
+    return merge_rule_counters(counters, spec.rules)
+
+
+def _counters_of(clean: str) -> str:
+    return f"{clean}_rule_counts"
+
+
+def _current_counters(spark: SparkSession, clean: str) -> DataFrame:
+    counters = read_table(spark, _counters_of(clean))
+    return counters.where(F.col("version") == stored_version(spark, clean)).drop("version")
+
+
+def _write_counters(counters: DataFrame, clean: str, mode: str) -> None:
+    spark, name = counters.sparkSession, _counters_of(clean)
+    rows = counters.withColumn("version", F.lit(stored_version(spark, clean)))
+    rows = rows.select(*[c for c in rows.columns if c not in MONTH_COLUMNS], *MONTH_COLUMNS)
+    # Some tens of bytes a month: one file, or one for each month.
+    rows.repartition(*MONTH_COLUMNS).write.partitionBy(*MONTH_COLUMNS).mode(mode).saveAsTable(name)
+
+
+def _forget_counters(
+    spark: SparkSession, clean: str, months: list[tuple[int | None, int | None]]
+) -> None:
+    name = _counters_of(clean)
+    if spark.catalog.tableExists(name):
+        overwrite_months(read_table(spark, name).limit(0), name, months)

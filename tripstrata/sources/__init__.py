@@ -17,6 +17,7 @@ from tripstrata.sources.tables import (
     replace_files,
     replace_split_months,
     run_query,
+    stored_months,
     write_split,
     write_split_passes,
     write_table,
@@ -41,6 +42,7 @@ __all__ = [
     "replace_split_months",
     "run_query",
     "source_files",
+    "stored_months",
     "with_ingest_metadata",
     "with_partition_columns",
     "with_source_file",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSe
 from pyspark.sql import functions as F
 
 from tripstrata.functions.columns import col
-from tripstrata.names import CLEAN, QUARANTINE, ROUTE, SOURCE_FILE
+from tripstrata.names import CLEAN, LABEL, QUARANTINE, ROUTE, SOURCE_FILE
 from tripstrata.session import scratch_dir
 
 # Property of the views of a split: the table that holds their rows.
@@ -209,6 +209,33 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def stored_months(
+    spark: SparkSession,
+    tables: Mapping[str, str],
+    partition_by: Sequence[str] = ("pickup_year", "pickup_month"),
+    side: str | None = CLEAN,
+) -> DataFrame:
+    """The months that tables hold, as ``(trip_type, year, month)`` with the names of ``tables`` as types.
+
+    Taken from the catalog's list of partitions alone: no file is listed or opened. A table may be a view of
+    a split, of which ``side`` is looked at, or both sides if None.
+    """
+    frames = []
+    for label, name in tables.items():
+        split = stored_version(spark, name)
+        parts = spark.sql(f"SHOW PARTITIONS {split or name}")
+        values = [_partition_value(column) for column in partition_by]
+        if split and side is not None:
+            parts = parts.where(F.regexp_extract("partition", f"(?:^|/){ROUTE}=([^/]*)", 1) == side)
+        frames.append(parts.select(F.lit(label).alias(LABEL), *values))
+    return reduce(DataFrame.unionByName, frames).distinct()
+
+
+def _partition_value(column: str) -> Column:
+    text = F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1)
+    return F.when(text != "__HIVE_DEFAULT_PARTITION__", text).cast("int").alias(column)
+
+
 def _drop_partition(spark: SparkSession, name: str, keys: list[str], row) -> None:
     items = ", ".join(f"`{k}` = null" if row[k] is None else f"`{k}` = '{row[k]}'" for k in keys)
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({items})")
