@@ -11,8 +11,12 @@ from tripstrata.sources import (
     in_months,
     overwrite_months,
     read_table,
+    release_replaced,
     replace_files,
+    replace_split_months,
     run_query,
+    stored_months,
+    tables,
     with_partition_columns,
     write_split,
     write_split_passes,
@@ -179,3 +183,83 @@ def test_run_query(spark, database):
     rows = run_query(spark, f"SELECT count(*) AS n FROM {database}.t").collect()
     assert rows[0].n == 3
     assert run_query(spark, "SELECT max(id) AS m FROM {r}", r=spark.range(4)).first().m == 3
+
+
+def split_rows(spark, changes):
+    rows = with_partition_columns(frame(spark, "fhvhv", changes), "pickup_datetime")
+    return route(apply_rules(with_duration(rows, FHVHV), FHVHV.rules))
+
+
+def counts(spark, clean, rejected):
+    return tuple(read_table(spark, x).count() for x in (clean, rejected, f"{clean}_checked"))
+
+
+MAY, JUNE = (START.year, 5), (START.year, 6)
+MIXED = [{}, {"trip_time": 5}, {"pickup_datetime": START.replace(month=6, day=4)}]
+
+
+@pytest.mark.parametrize("broken", ["_counted", "_partitions", "_point", "_release"])
+def test_months_are_replaced_in_one_step(spark, database, monkeypatch, broken):
+    clean, rejected = f"{database}.f", f"{database}.f_quarantine"
+    write_split(split_rows(spark, MIXED), clean, rejected)
+    before = counts(spark, clean, rejected)
+    new = split_rows(spark, [{"tips": float(k)} for k in range(5)])
+
+    def fails(*args):
+        raise RuntimeError("stopped here")
+
+    whole = getattr(tables, broken)
+    monkeypatch.setattr(tables, broken, fails)
+    with pytest.raises(RuntimeError):
+        replace_split_months(new, clean, [MAY])
+    monkeypatch.setattr(tables, broken, whole)
+    # Only the last step, the release of old rows, comes after the views have moved.
+    moved = broken == "_release"
+    after = (5, 1, 6)
+    assert counts(spark, clean, rejected) == (after if moved else before)
+    assert replace_split_months(new, clean, [MAY]) == 5
+    assert counts(spark, clean, rejected) == after
+
+
+def test_a_reader_that_began_before_ends(spark, database):
+    clean, rejected = f"{database}.f", f"{database}.f_quarantine"
+    write_split(split_rows(spark, MIXED), clean, rejected)
+    old = read_table(spark, f"{clean}_checked").select("trip_time", "pickup_month")
+    old._jdf.queryExecution().executedPlan()
+    replace_split_months(split_rows(spark, [{}] * 4), clean, [MAY])
+    assert old.count() == 3
+    assert counts(spark, clean, rejected) == (4, 1, 5)
+    newer = read_table(spark, clean).select("trip_time")
+    newer._jdf.queryExecution().executedPlan()
+    write_split(split_rows(spark, [{}]), clean, rejected)
+    assert newer.count() == 4
+    assert counts(spark, clean, rejected) == (1, 0, 1)
+    release_replaced(spark, clean)
+    assert len([t.name for t in spark.catalog.listTables(database) if "_v_" in t.name]) == 1
+    assert counts(spark, clean, rejected) == (1, 0, 1)
+
+
+def test_strays_change_nothing_and_old_batches_go(spark, database):
+    clean, rejected = f"{database}.f", f"{database}.f_quarantine"
+    write_split(split_rows(spark, MIXED), clean, rejected)
+    with pytest.raises(ValueError, match="not to be replaced"):
+        replace_split_months(split_rows(spark, MIXED), clean, [MAY])
+    assert counts(spark, clean, rejected) == (1, 2, 3)
+    for n in (2, 3, 4):
+        replace_split_months(split_rows(spark, [{}] * n), clean, [MAY])
+        assert counts(spark, clean, rejected) == (n, 1, n + 1)
+    replace_split_months(split_rows(spark, [{}]).where("false"), clean, [JUNE, (None, None)])
+    assert counts(spark, clean, rejected) == (4, 0, 4)
+    assert stored_months(spark, {"fhvhv": clean}).count() == 1
+    listed = spark.sql(f"SHOW PARTITIONS {tables.stored_version(spark, clean)}").count()
+    release_replaced(spark, clean)
+    assert spark.sql(f"SHOW PARTITIONS {tables.stored_version(spark, clean)}").count() == 1 < listed
+
+
+def test_views_follow_the_columns_of_a_new_build(spark, database):
+    clean, rejected = f"{database}.f", f"{database}.f_quarantine"
+    write_split(split_rows(spark, MIXED), clean, rejected)
+    write_split(split_rows(spark, MIXED).withColumn("it's", F.lit(1)), clean, rejected)
+    assert read_table(spark, clean).columns[-3:] != read_table(spark, clean).columns[:3]
+    assert "it's" in read_table(spark, clean).columns and "it's" in read_table(spark, rejected).columns
+    assert "_route" not in read_table(spark, clean).columns and "_batch" not in read_table(spark, clean).columns

@@ -14,6 +14,7 @@ from tripstrata.sources.tables import (
     in_months,
     overwrite_months,
     read_table,
+    release_replaced,
     replace_files,
     replace_split_months,
     run_query,
@@ -38,6 +39,7 @@ __all__ = [
     "read_files",
     "read_new_files",
     "read_table",
+    "release_replaced",
     "replace_files",
     "replace_split_months",
     "run_query",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from operator import and_, or_
 
@@ -16,8 +18,10 @@ from tripstrata.functions.columns import col
 from tripstrata.names import CLEAN, LABEL, QUARANTINE, ROUTE, SOURCE_FILE
 from tripstrata.session import scratch_dir
 
-# Property of the views of a split: the table that holds their rows.
-VERSION = "tripstrata.version"
+# Property of the view that the other views of a split read: what they show.
+SNAPSHOT = "tripstrata.snapshot"
+# Partition column of a split's rows, and its value for those of the build itself.
+BATCH, FIRST = "_batch", "0"
 _MODE_LOCK = threading.RLock()
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 # Table property of tables that a stream appends to. Spark reads those through the log of the stream
@@ -91,11 +95,13 @@ def write_split_passes(
 
     Both sides come from the same expensive shuffle. Two separate writes would run it twice, and a
     cached or staged copy would store all the data once more. So each frame is written once, to a
-    table partitioned by its route and month. ``clean``, ``quarantine`` and ``<clean>_checked`` are
-    views on its halves and the whole, and filters on the month prune partitions of either.
+    table partitioned by its route, month and batch. ``clean``, ``quarantine`` and ``<clean>_checked`` are
+    views on the snapshot ``<clean>_current``, and filters on the month prune partitions of either.
 
-    The views move to the new version once all of it is stored, and only then is the old one dropped.
-    Until that, and after a failure, readers see the old version in full.
+    The snapshot alone says which version, and which batch of each month, is read. It moves in one
+    step once everything is stored, so all three views change together, and a failure at any
+    point leaves the old rows in full. The version before is kept until the next build, for readers
+    that have begun.
     """
     stored = f"{clean}_v_{uuid.uuid4().hex[:12]}"
     rows, spark, columns = 0, None, None
@@ -103,43 +109,141 @@ def write_split_passes(
         for number, routed in enumerate(passes):
             spark, columns = routed.sparkSession, [c for c in routed.columns if c != ROUTE]
             mode = "append" if number else "overwrite"
-            rows += _save(routed, stored, [ROUTE, *partition_by], mode=mode)
+            batch = routed.withColumn(BATCH, F.lit(FIRST))
+            rows += _save(batch, stored, [ROUTE, *partition_by, BATCH], mode=mode)
     except BaseException:
         if spark is not None:
             spark.sql(f"DROP TABLE IF EXISTS {stored}")
         raise
-    before = stored_version(spark, clean)
-    items = ", ".join(f"`{name}`" for name in columns)
+    before = _snapshot(spark, clean)
+    _point(spark, clean, Snapshot(stored, before and before.stored, columns, (), partition_by))
+    _create_views(spark, clean, quarantine)
+    if before and before.previous:
+        spark.sql(f"DROP TABLE IF EXISTS {before.previous}")
+    return rows
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What the views of a split show: a table, and for some months another batch than the first."""
+
+    stored: str
+    previous: str | None
+    columns: Sequence[str]
+    batches: Sequence[tuple[int | None, int | None, str]]
+    partition_by: Sequence[str]
+
+    def shows(self) -> str:
+        """SQL that is true for the partitions to be read. It names partition columns only."""
+        year, month = (f"`{name}`" for name in self.partition_by)
+        cases = " ".join(
+            f"WHEN {year} <=> {_literal(y)} AND {month} <=> {_literal(m)} THEN '{batch}'"
+            for y, m, batch in self.batches
+        )
+        return f"`{BATCH}` = " + (f"CASE {cases} ELSE '{FIRST}' END" if cases else f"'{FIRST}'")
+
+
+def _literal(value: int | None) -> str:
+    return "NULL" if value is None else str(int(value))
+
+
+def _snapshot(spark: SparkSession, clean: str) -> Snapshot | None:
+    if not spark.catalog.tableExists(f"{clean}_current"):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {clean}_current").collect()
+    record = {row.key: row.value for row in rows}.get(SNAPSHOT)
+    if record is None:
+        return None
+    found = json.loads(record)
+    found["batches"] = [tuple(x) for x in found["batches"]]
+    return Snapshot(**found)
+
+
+def _point(spark: SparkSession, clean: str, to: Snapshot) -> None:
+    """The one step in which readers go over to another snapshot."""
+    items = ", ".join(f"`{name}`" for name in (*to.columns, ROUTE))
+    record = json.dumps(asdict(to)).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {clean}_current TBLPROPERTIES ('{SNAPSHOT}' = '{record}') AS "
+        f"SELECT {items} FROM {to.stored} WHERE {to.shows()}"
+    )
+
+
+def _create_views(spark: SparkSession, clean: str, quarantine: str) -> None:
+    """Views that follow the snapshot, its columns included; made once."""
     for view, where in (
         (clean, f"WHERE `{ROUTE}` = '{CLEAN}'"),
         (quarantine, f"WHERE `{ROUTE}` = '{QUARANTINE}'"),
         (f"{clean}_checked", ""),
     ):
         spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{VERSION}' = '{stored}') AS "
-            f"SELECT {items} FROM {stored} {where}"
+            f"CREATE VIEW IF NOT EXISTS {view} WITH SCHEMA EVOLUTION AS "
+            f"SELECT * EXCEPT (`{ROUTE}`) FROM {clean}_current {where}"
         )
-    if before:
-        spark.sql(f"DROP TABLE IF EXISTS {before}")
-    return rows
 
 
 def stored_version(spark: SparkSession, clean: str) -> str | None:
     """The table behind the views of a split, if there are any."""
-    if not spark.catalog.tableExists(clean):
-        return None
-    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {clean}").collect()}
-    return properties.get(VERSION)
+    found = _snapshot(spark, clean)
+    return found and found.stored
 
 
 def replace_split_months(
     routed: DataFrame, clean: str, months: Iterable[tuple[int | None, int | None]]
 ) -> int:
-    """Replace the given months on both sides of a split; all others stay as they are."""
-    stored = stored_version(routed.sparkSession, clean)
-    if stored is None:
+    """Replace the given months on both sides of a split; all others stay as they are.
+
+    The rows are stored as a further batch beside the old ones, and the snapshot then moves to it in one
+    step. A row in any other month is an error that changes nothing. The rows replaced are kept until the next
+    replacement, for readers that have begun (``release_replaced`` drops them at once).
+    """
+    spark, months = routed.sparkSession, list(dict.fromkeys(months))
+    before = _snapshot(spark, clean)
+    if before is None:
+        raise ValueError(f"{clean} is not a view of a split")
+    batch = uuid.uuid4().hex[:12]
+    ordered = routed.withColumn(BATCH, F.lit(batch)).select(
+        *[col(name) for name in spark.table(before.stored).columns]
+    )
+    counted, written = _counted(ordered)
+    counted.write.insertInto(before.stored)
+    rows = written.get["rows"]
+    found = {(r[0], r[1]) for r in _partitions(spark, before).where(F.col(BATCH) == batch).collect()}
+    stray = sorted(found - set(months), key=str)
+    if stray:
+        _release(spark, before, [before])
+        raise ValueError(f"rows of months that are not to be replaced: {stray}")
+    moved = {(y, m): old for y, m, old in before.batches} | dict.fromkeys(months, batch)
+    after = replace(before, batches=tuple((y, m, b) for (y, m), b in moved.items()))
+    _point(spark, clean, after)
+    _release(spark, after, [before, after])
+    return rows
+
+
+def release_replaced(spark: SparkSession, clean: str) -> None:
+    """Drop what the snapshot of a split does not show: replaced months and the version before."""
+    found = _snapshot(spark, clean)
+    if found is None:
         raise ValueError(f"{clean} is not a view of a split")
-    return overwrite_months(routed, stored, months)
+    if found.previous:
+        spark.sql(f"DROP TABLE IF EXISTS {found.previous}")
+    _release(spark, found, [found])
+
+
+def _partitions(spark: SparkSession, snapshot: Snapshot) -> DataFrame:
+    """Year, month, batch and route of every partition, from the catalog alone."""
+    batch = F.regexp_extract("partition", f"(?:^|/){BATCH}=([^/]*)", 1).alias(BATCH)
+    route = F.regexp_extract("partition", f"(?:^|/){ROUTE}=([^/]*)", 1).alias(ROUTE)
+    values = [_partition_value(column) for column in snapshot.partition_by]
+    return spark.sql(f"SHOW PARTITIONS {snapshot.stored}").select(*values, batch, route)
+
+
+def _release(spark: SparkSession, snapshot: Snapshot, kept: list[Snapshot]) -> None:
+    """Drop the partitions that none of the ``kept`` snapshots shows."""
+    shown = " OR ".join(f"({x.shows()})" for x in kept)
+    keys = [*snapshot.partition_by, BATCH, ROUTE]
+    for row in _partitions(spark, snapshot).where(f"NOT ({shown})").collect():
+        _drop_partition(spark, snapshot.stored, keys, row)
 
 
 def overwrite_months(
@@ -222,12 +326,15 @@ def stored_months(
     """
     frames = []
     for label, name in tables.items():
-        split = stored_version(spark, name)
-        parts = spark.sql(f"SHOW PARTITIONS {split or name}")
-        values = [_partition_value(column) for column in partition_by]
-        if split and side is not None:
-            parts = parts.where(F.regexp_extract("partition", f"(?:^|/){ROUTE}=([^/]*)", 1) == side)
-        frames.append(parts.select(F.lit(label).alias(LABEL), *values))
+        split = _snapshot(spark, name)
+        if split:
+            parts = _partitions(spark, split).where(split.shows())
+            parts = parts if side is None else parts.where(F.col(ROUTE) == side)
+            parts = parts.select(*partition_by)
+        else:
+            listed = spark.sql(f"SHOW PARTITIONS {name}")
+            parts = listed.select(*[_partition_value(column) for column in partition_by])
+        frames.append(parts.select(F.lit(label).alias(LABEL), *partition_by))
     return reduce(DataFrame.unionByName, frames).distinct()
 
 
