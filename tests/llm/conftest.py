@@ -44,7 +44,8 @@ def clashing_docs(spark):
     """Further columns with the names that operators use themselves."""
     names = (
         "key sid node component tile part n_words kept h cls n c place a b ids shard_depth hash_key "
-        "score n_bytes count start end secret_spans"
+        "score n_bytes count start end secret_spans __text __named own_text named_spans row_number number group "
+        "first id draw lang_pred"
     ).split()
     rows = [(*row, *range(len(names))) for row in odd_rows()]
     return spark.createDataFrame(rows, SCHEMA + "".join(f", `{x}` int" for x in names))

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm import words as W
+from tripstrata.llm.private import free_name
 
 U64 = np.uint64
 Q = 12
@@ -249,13 +250,13 @@ def drop_contaminated(
 
     def keep(index):
         def rows(batches):
-            for piece in W.pieces(batches, "__text"):
-                clean = [not search(index.value, x) for x in piece.column("__text").to_pylist()]
-                yield piece.drop_columns(["__text"]).filter(pa.array(clean, pa.bool_()))
+            for piece in W.pieces(batches, own):
+                clean = [not search(index.value, x) for x in piece.column(own).to_pylist()]
+                yield piece.drop_columns([own]).filter(pa.array(clean, pa.bool_()))
 
         return rows
 
-    schema = docs.schema
+    schema, own = docs.schema, free_name(docs, "own_text")
     for index in _blocks(benchmark, rate, min_chars):
-        docs = docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(keep(index), schema)
+        docs = docs.withColumn(own, F.col("text").cast("string")).mapInArrow(keep(index), schema)
     return docs

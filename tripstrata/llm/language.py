@@ -6,7 +6,8 @@ follow-the-regularised-leader rule with an elastic-net penalty (McMahan 2011), w
 exactly zero, and the probabilities are then calibrated by a temperature on documents kept apart for that.
 
 Training documents have a language and ``crc32(doc_id) % 4 != 2``. Document frequencies are counted over all of
-them; the model is fitted on at most about ``SAMPLE`` of them, chosen by a hash of ``doc_id``.
+them; the model is fitted on at most ``SAMPLE`` of them, or one for each
+language if there are more languages, equally many of each, chosen by a hash of ``doc_id`` and text.
 
 NULL text and text without a letter are ``und``, with score 1. Rows may repeat; further columns are ignored.
 """
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripstrata.llm import words as W
 
@@ -103,6 +105,14 @@ def fit(x: np.ndarray, y: np.ndarray, classes: int, l1: float = L1, batch: int =
     return weights()
 
 
+def repeated(y: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The rows to learn from, those of rare languages so often that each has an eighth of the mean."""
+    count = np.bincount(y[rows], minlength=int(y.max()) + 1)
+    mean = len(rows) / np.count_nonzero(count)
+    times = np.ceil(mean / (8 * np.maximum(count, 1))).astype(int)
+    return np.repeat(rows, times[y[rows]])
+
+
 def softmax(logits: np.ndarray) -> np.ndarray:
     e = np.exp(logits - logits.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -115,6 +125,33 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(tried[int(np.argmin(loss))])
 
 
+def shares(counts: dict[str, int], sample: int = SAMPLE) -> tuple[int, dict[str, float]]:
+    """How many documents of each language are sampled, and the share of its documents drawn for that.
+
+    Every language gets an equal part of the sample, at least one. So many are drawn that fewer than that
+    part, or none, come out with a probability below 10^-20, whatever the counts; where all are needed, all.
+    """
+    quota = max(1, sample // max(1, len(counts)))
+    return quota, {lang: min(1.0, (4 * quota + 64) / n) for lang, n in counts.items()}
+
+
+def _sampled(train: DataFrame) -> DataFrame:
+    """Of each language the documents with the smallest hashes of id and text, at most the quota.
+
+    The draw leaves a few thousand of all documents to be ranked. Repeated rows have one hash, and
+    no more of them than the quota leave a task.
+    """
+    counts = {row["lang"]: row["n"] for row in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    quota, share = shares(counts)
+    if not counts:
+        return train.withColumn("draw", F.lit(0).cast("long"))
+    limits = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, s * 2.0**63)])
+    draw = F.xxhash64("doc_id", "text", F.lit("sample")).bitwiseAND(F.expr(f"{(1 << 63) - 1}L"))
+    drawn = train.withColumn("draw", draw).where(F.col("draw") <= limits[F.col("lang")])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    return drawn.withColumn("place", place).where(F.col("place") <= quota)
+
+
 def predict_language(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row of ``docs(doc_id, text, lang)``."""
     spark = docs.sparkSession
@@ -139,10 +176,9 @@ def predict_language(docs: DataFrame) -> DataFrame:
     idf = np.log((1 + docs_seen) / (1 + found[:SIZE])) + 1
     idf = idf.astype(np.float32)
 
-    share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
     sample = (
-        train.where(share < int(min(1.0, SAMPLE / max(docs_seen, 1)) * 1_000_000))
-        .select("lang", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(5)).alias("part"), "text")
+        _sampled(train)
+        .select("lang", F.pmod("draw", F.lit(5)).alias("part"), "text")
         .mapInArrow(_sample_rows, "lang string, part long, tf binary")
         .toPandas()
     )
@@ -155,7 +191,9 @@ def predict_language(docs: DataFrame) -> DataFrame:
         apart = (sample["part"] == 0).to_numpy()
         if apart.all() or not apart.any():
             apart = np.zeros(len(y), bool)
-        w = fit(x[~apart], y[~apart], len(langs))
+        apart &= np.isin(y, y[~apart])
+        rows = repeated(y, np.flatnonzero(~apart))
+        w = fit(x[rows], y[rows], len(langs))
         check = apart if apart.any() else ~apart
         t = temperature(x[check] @ w[:-1] + w[-1], y[check])
         model = spark.sparkContext.broadcast((langs, idf, w.astype(np.float32) / np.float32(t)))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm import words as W
+from tripstrata.llm.private import free_name
 
 U64 = np.uint64
 _SYMBOL = np.zeros(256, bool)
@@ -49,10 +50,21 @@ def _duplicate_lines(words: W.Words) -> np.ndarray:
     h = W.mix(np.add.reduceat(values * np.cumprod(powers)[place], begin) + length.astype(U64))
     filled = np.searchsorted(words.start, begin + length) > np.searchsorted(words.start, begin)
     owner = np.searchsorted(offsets, begin, side="right") - 1
-    h, owner = h[filled], owner[filled]
-    order = np.lexsort((h, owner))
-    again = (h[order][1:] == h[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    return np.bincount(owner[order][1:][again], minlength=len(offsets) - 1)
+    h, owner, begin, length = h[filled], owner[filled], begin[filled], length[filled]
+    order = np.lexsort((begin, h, owner))
+    h, owner, begin, length = h[order], owner[order], begin[order], length[order]
+    again = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
+    found = np.bincount(owner[1:][again], minlength=len(offsets) - 1)
+
+    def line(k: int) -> bytes:
+        return data[begin[k] : begin[k] + length[k]].tobytes()
+
+    # Lines of one hash are compared; texts in which unequal ones share a hash are counted by their lines.
+    unequal = {int(owner[k]) for k in np.flatnonzero(again) if line(k) != line(k + 1)}
+    for text in unequal:
+        lines = [line(k) for k in range(*np.searchsorted(owner, [text, text + 1]))]
+        found[text] = len(lines) - len(set(lines))
+    return found
 
 
 def suffix_array(h: np.ndarray, doc: np.ndarray, at: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -181,9 +193,9 @@ def repetition_rules(
     """
 
     def rows(batches):
-        for piece in W.pieces(batches, "__text"):
-            found = measures(piece.column("__text"), min_repeat)
-            rest = piece.drop_columns(["__text"])
+        for piece in W.pieces(batches, own):
+            found = measures(piece.column(own), min_repeat)
+            rest = piece.drop_columns([own])
             for name in _COLUMNS:
                 rest = rest.append_column(name, pa.array(found[name], pa.int64()))
             yield rest
@@ -191,7 +203,8 @@ def repetition_rules(
     rest = docs.drop(*_COLUMNS, "base_failed", "kept")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
     schema += "".join(f", {name} long" for name in _COLUMNS)
-    measured = rest.withColumn("__text", F.col(text).cast("string")).mapInArrow(rows, schema)
+    own = free_name(rest, "own_text")
+    measured = rest.withColumn(own, F.col(text).cast("string")).mapInArrow(rows, schema)
     base_failed = (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )

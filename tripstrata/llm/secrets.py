@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripstrata.llm.private import free_name
+
 # The patterns of the named kinds and the order in which kinds are listed.
 ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -209,7 +211,8 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     assign = _spans(whole, ASSIGN, 1, lambda t: F.length(F.regexp_extract(t, ASSIGN, 2)) >= 6)
     access = _spans(whole, ACCESS, 2, lambda t: F.length(t) >= 20)
     hexes = _spans(whole, HEX, 3, lambda t: F.length(t) >= 24)
-    named = docs.withColumn("__named", F.concat(assign, access, hexes))
+    own = free_name(docs, "named_spans")
+    named = docs.withColumn(own, F.concat(assign, access, hexes))
     if least:
         level = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
 
@@ -219,12 +222,12 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
         random = F.filter(
             _spans(whole, CANDIDATE, 4, discovered),
-            lambda s: ~F.exists("__named", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+            lambda s: ~F.exists(own, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
         )
-        spans = F.concat("__named", random)
+        spans = F.concat(own, random)
     else:
-        spans = F.col("__named")
-    return named.withColumn("secret_spans", F.array_sort(spans)).drop("__named")
+        spans = F.col(own)
+    return named.withColumn("secret_spans", F.array_sort(spans)).drop(own)
 
 
 def secret_digests(docs: DataFrame) -> DataFrame:

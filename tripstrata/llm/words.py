@@ -6,6 +6,7 @@ inside a longer UTF-8 character, so a text can be cut at byte level.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
 _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]
+_FOLDING = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LONG = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = U64(0x9E3779B97F4A7C15)
@@ -96,7 +99,11 @@ def split(texts: pa.LargeStringArray) -> Words:
 
 
 def hashes(words: Words, fold: bool) -> np.ndarray:
-    """A 64-bit hash of each word; ``fold`` takes A-Z as a-z."""
+    """A 64-bit hash of each word; ``fold`` takes A-Z as a-z.
+
+    Sums of powers modulo 2^64 can be made equal for long words (in Thue-Morse order, for one), so words
+    of more than ``LONG`` bytes are hashed by BLAKE2.
+    """
     if not len(words.start):
         return np.zeros(0, U64)
     low, high = words.start[0], words.end[-1]
@@ -106,7 +113,13 @@ def hashes(words: Words, fold: bool) -> np.ndarray:
     powers = np.full(int(place.max()) + 1, _BASE, U64)
     powers[0] = 1
     values *= np.cumprod(powers)[place]
-    return mix(np.add.reduceat(values, words.start - low) + (words.end - words.start).astype(U64))
+    size = words.end - words.start
+    found = mix(np.add.reduceat(values, words.start - low) + size.astype(U64))
+    for k in np.flatnonzero(size > LONG):
+        word = words.data[words.start[k] : words.end[k]].tobytes()
+        word = word.translate(_FOLDING) if fold else word
+        found[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return found
 
 
 def segments(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
