@@ -6,16 +6,19 @@ from pyspark.sql import functions as F
 
 from acceptance import fixtures as fx
 from acceptance.registry import check
+from tripstrata.functions.times import minutes_between
 from tripstrata.operators import (
     demand_by_hour,
     demand_by_hour_type,
     demand_by_zone,
     demand_patterns,
     distinct_values,
+    duration_sketches,
     duration_stats,
     duration_summary,
     filter_types,
     label_zones,
+    merge_duration_sketches,
     narrow,
     pivot_hourly,
     revenue,
@@ -217,3 +220,31 @@ def type_options(spark, sf_dir):
 @check("SELECT count(*) AS total_trips FROM raw_trips", uses=("raw_trips",))
 def trips_in_total(spark, sf_dir):
     return total_trips(trips_by_type(fx.trips(spark, sf_dir)))
+
+
+@check(
+    "SELECT trip_type, trip_count, min_duration_min, max_duration_min, avg_duration_min, true AS sketch_median, "
+    "true AS sketch_p90, true AS sampled_median, true AS sampled_p90 FROM raw_durations",
+    uses=("raw_durations",),
+)
+def duration_rank_errors(spark, sf_dir):
+    """Percentiles of the merged monthly sketches, and of Spark's samples at their default accuracy: is each
+    one's rank among all trips within half a percent?"""
+    trips = fx.trips(spark, sf_dir)
+    sketched = merge_duration_sketches(duration_sketches(trips)).drop("sketch")
+    sampled = duration_stats(trips, accuracy=10_000)
+    names = {"median_duration_min": 0.5, "p90_duration_min": 0.9}
+    found = sketched.join(
+        sampled.select("trip_type", *[F.col(name).alias(f"sampled_{name}") for name in names]), "trip_type"
+    )
+    minutes = minutes_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
+    lengths = trips.select("trip_type", F.round(minutes, 2).alias("minutes")).where("minutes IS NOT NULL")
+    tests = []
+    for kind, prefix in (("sketch", ""), ("sampled", "sampled_")):
+        for name, share in names.items():
+            value, n = F.col(prefix + name), F.count(F.lit(1))
+            low, high = F.count_if(F.col("minutes") < value) / n, F.count_if(F.col("minutes") <= value) / n
+            near = (low - 0.005 <= share) & (high + 0.005 >= share)
+            tests.append(near.alias(f"{kind}_{name.split('_')[0]}"))
+    kept = ("trip_type", "trip_count", "min_duration_min", "max_duration_min", "avg_duration_min")
+    return lengths.join(found, "trip_type").groupBy(*kept).agg(*tests)

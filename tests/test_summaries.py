@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from acceptance import fixtures as fx
 from tripstrata.operators import (
+    dedup_first,
     demand_parts,
     demand_patterns,
     duration_parts,
+    duration_sketches,
     duration_stats,
     latest_month,
     loaded_months,
     merge_demand,
+    merge_duration_sketches,
     merge_durations,
     merge_revenue,
     revenue,
@@ -28,7 +31,7 @@ from tripstrata.operators import (
 from tripstrata.plans import Layers, rebuild_months, refresh_months, run_pipeline, silver, silver_report
 from tripstrata.plans.gold import DEMAND, DURATION, REVENUE, UNIFIED, parts_of
 from tripstrata.session import scratch_dir
-from tripstrata.sources import in_months, overwrite_months, read_table, stored_months
+from tripstrata.sources import in_months, overwrite_months, read_table, stored_months, write_bucketed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -204,3 +207,40 @@ def test_months_from_the_catalog(spark, refreshed):
     assert newest == latest_month(trips).first().latest_month
     both = stored_months(spark, {"yellow": refreshed.clean("yellow")}, side=None)
     assert both.count() >= found.where("trip_type = 'yellow'").count()
+
+
+def test_sketches_of_months_merge(spark):
+    rng = random.Random(2)
+    start = datetime(2025, 1, 1)
+    data = []
+    for k in range(40_000):
+        at = start + timedelta(hours=k % 4000)
+        length = rng.choice((60, 61, 3600)) if k % 10 == 0 else int(rng.lognormvariate(6, 1))
+        data.append(("ab"[k % 2], at, at + timedelta(seconds=length) if k % 50 else None, at.year, at.month))
+    schema = "trip_type string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, pickup_year int, pickup_month int"
+    trips = spark.createDataFrame([*data, ("c", start, None, 2025, 1)], schema).repartition(6)
+    merged = {r.trip_type: r for r in merge_duration_sketches(duration_sketches(trips)).collect()}
+    exact = {r.trip_type: r for r in duration_stats(trips).collect()}
+    for kind in "abc":
+        for name in ("trip_count", "avg_duration_min", "min_duration_min", "max_duration_min"):
+            assert merged[kind][name] == exact[kind][name]
+    assert merged["c"].median_duration_min is None
+    for kind in "ab":
+        seconds = sorted((d - p).total_seconds() for t, p, d, *_ in data if t == kind and d)
+        for share, name in ((0.5, "median_duration_min"), (0.9, "p90_duration_min")):
+            value = merged[kind][name] * 60
+            low = sum(s < value - 0.5 for s in seconds) / len(seconds)
+            high = sum(s <= value + 0.5 for s in seconds) / len(seconds)
+            assert low - 0.005 <= share <= high + 0.005
+        assert len(merged[kind].sketch) < 100_000
+
+
+def test_a_bucketed_table_is_deduplicated_without_a_shuffle(spark, database):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    keys = ["l_orderkey", "l_linenumber"]
+    assert write_bucketed(lines, f"{database}.lines", keys, 8) == lines.count()
+    stored = read_table(spark, f"{database}.lines")
+    kept = dedup_first(stored, keys, ["l_shipdate"], ["l_partkey", "l_suppkey"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert rows(kept) == rows(dedup_first(lines, keys, ["l_shipdate"], ["l_partkey", "l_suppkey"]))

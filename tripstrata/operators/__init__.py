@@ -5,8 +5,10 @@ from tripstrata.operators.marts import (
     demand_patterns,
     duration_histogram,
     duration_parts,
+    duration_sketches,
     duration_stats,
     merge_demand,
+    merge_duration_sketches,
     merge_durations,
     merge_revenue,
     revenue,
@@ -53,6 +55,7 @@ __all__ = [
     "distinct_values",
     "duration_histogram",
     "duration_parts",
+    "duration_sketches",
     "duration_stats",
     "duration_summary",
     "expected_months",
@@ -62,6 +65,7 @@ __all__ = [
     "latest_month",
     "loaded_months",
     "merge_demand",
+    "merge_duration_sketches",
     "merge_durations",
     "merge_revenue",
     "merge_rule_counters",

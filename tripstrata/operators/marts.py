@@ -21,6 +21,7 @@ PERCENTILES = {"median_duration_min": Decimal("0.5"), "p90_duration_min": Decima
 # Amounts are summed as decimals with four places, up to 10^14 each and 10^24 together.
 AMOUNT = "decimal(18,4)"
 MONTH = ("pickup_year", "pickup_month")
+SKETCH_SIZE = 2000
 
 
 def demand_patterns(trips: DataFrame) -> DataFrame:
@@ -275,6 +276,54 @@ def _locate(counts: Column, rank: Column) -> Column:
     return F.aggregate(counts, start, step)
 
 
+def duration_sketches(trips: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per type and month the count, sum and extremes of durations, and a sketch of them (KLL).
+
+    A sketch takes up a few KB whatever the number of trips. A task adds its own trips up first, and a
+    month's sketches meet where the month's counts do, so no reducer gets samples from every task. The rank of
+    a percentile is off by ``1.33 % * (200 / size) ** 0.9`` of the trips at most, 0.17 % by default, with
+    a confidence of 99 %; ``duration_parts`` are exact and larger by the number of distinct seconds.
+    """
+    seconds = seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
+    timed = trips.select(LABEL, *MONTH, seconds.alias("seconds"))
+    return timed.groupBy(LABEL, *MONTH).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count("seconds").alias("known"),
+        F.sum(F.col("seconds").cast("decimal(28,0)")).alias("total"),
+        F.min("seconds").alias("least"),
+        F.max("seconds").alias("most"),
+        F.kll_sketch_agg_bigint("seconds", size).alias("sketch"),
+    )
+
+
+def merge_duration_sketches(parts: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """The columns of ``duration_stats`` from monthly sketches, and the merged sketch itself."""
+    merged = parts.groupBy(LABEL).agg(
+        F.sum("trips").alias("trip_count"),
+        F.sum("known").alias("known"),
+        F.sum("total").alias("total"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.kll_merge_agg_bigint("sketch", size).alias("sketch"),
+    )
+    known = F.col("known") > 0
+
+    def at(share: Decimal) -> Column:
+        value = F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(share)))
+        return F.when(known, _minutes(value))
+
+    mean = F.when(known, F.col("total").cast("double") / F.col("known"))
+    return merged.select(
+        LABEL,
+        "trip_count",
+        _minutes(mean).alias("avg_duration_min"),
+        *[at(share).alias(name) for name, share in PERCENTILES.items()],
+        _minutes(F.col("least")).alias("min_duration_min"),
+        _minutes(F.col("most")).alias("max_duration_min"),
+        "sketch",
+    )
+
+
 def _minutes(seconds: Column) -> Column:
     return F.round(seconds / F.lit(60.0), 2)
 

@@ -19,6 +19,7 @@ from tripstrata.sources.tables import (
     replace_split_months,
     run_query,
     stored_months,
+    write_bucketed,
     write_split,
     write_split_passes,
     write_table,
@@ -48,6 +49,7 @@ __all__ = [
     "with_ingest_metadata",
     "with_partition_columns",
     "with_source_file",
+    "write_bucketed",
     "write_split",
     "write_split_passes",
     "write_table",

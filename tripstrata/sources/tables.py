@@ -75,6 +75,25 @@ def write_table(
     return _save(df, name, keys, path)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, partition_by: Iterable[str] = ()
+) -> int:
+    """Replace a table by one laid out by a key: rows of one key are in one bucket, sorted by it.
+
+    Whatever groups by the key, as ``dedup_first`` does, reads the buckets as they are and shuffles nothing,
+    in this and every later rebuild; the one shuffle is that of this write. A bucket is read by one task, so
+    take a number that makes them some hundred MB each over the months read together, and a key of which
+    no value holds a large share of the rows.
+    """
+    counted, written = _counted(df.repartition(buckets, *[col(key) for key in keys]))
+    writer = counted.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    parts = list(partition_by)
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.saveAsTable(name)
+    return written.get["rows"]
+
+
 def write_split(
     routed: DataFrame,
     clean: str,
