@@ -13,7 +13,14 @@ from acceptance import fixtures as fx
 from acceptance.mart_checks import MONEY, rounded
 from acceptance.registry import FLAGS, check
 from tripstrata.operators import missing_partitions, monthly_counts
-from tripstrata.plans import Layers, dashboard, refresh_months, run_pipeline, silver_report
+from tripstrata.plans import (
+    Layers,
+    dashboard,
+    refresh_months,
+    refresh_new_files,
+    run_pipeline,
+    silver_report,
+)
 from tripstrata.plans.gold import DEMAND, DURATION, REVENUE, UNIFIED
 from tripstrata.session import scratch_dir
 from tripstrata.sources import in_months, overwrite_months, read_table, stored_months
@@ -138,6 +145,28 @@ def refresh_month_summaries(spark, sf_dir):
     return reduce(DataFrame.unionByName, frames)
 
 
+@check(
+    "SELECT trip_type, PULocationID, pickup_dow, pickup_hour, trip_count FROM demand WHERE trip_type <> 'fhv'",
+    uses=("demand",),
+)
+def refresh_by_arrivals(spark, sf_dir):
+    """Monthly files in three arrivals, each brought into all layers; the last run finds nothing."""
+    run = uuid.uuid4().hex
+    layers = Layers(*(f"{x}_{run}" for x in ("bronze", "silver", "gold")), scratch_dir(spark, "layers"))
+    folder, specs = scratch_dir(spark, "arrivals"), [fx.SPECS[x] for x in fx.LABELS if x != "fhv"]
+    sources = {spec.label: f"{folder}/{spec.label}" for spec in specs}
+    for arrival in range(3):
+        for spec in specs:
+            rows = fx.raw(spark, sf_dir, spec.label)
+            month = F.month(spec.pickup.equals_ci)
+            now = rows.where(F.pmod(month, F.lit(3)) == arrival)
+            now.repartition(2, month).write.mode("append").parquet(sources[spec.label])
+        refresh_new_files(spark, sources, layers, specs)
+    if any(refresh_new_files(spark, sources, layers, specs).values()):
+        raise ValueError("months were refreshed again")
+    return read_table(spark, f"{layers.gold}.{DEMAND}")
+
+
 @check("SELECT * FROM trips", uses=("trips",))
 def refresh_in_passes(spark, sf_dir):
     """Clean tables built in several passes over months, under the settings of a cluster."""

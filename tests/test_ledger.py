@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import START, frame
 from tripstrata import FHV, YELLOW
+from tripstrata.plans import Layers, pipeline, refresh_new_files
 from tripstrata.sources import (
     ensure_ledger,
     footers,
@@ -243,3 +244,35 @@ def test_an_empty_ledger(spark, folder, database):
     ensure_ledger(spark, f"{database}.loads")
     ensure_ledger(spark, f"{database}.loads")
     assert [r.again for r in pending_files(spark, folder, f"{database}.loads").collect()] == [False]
+
+
+def test_a_refresh_that_broke_off_is_caught_up(spark, folder, tmp_path, monkeypatch):
+    run = uuid.uuid4().hex
+    layers = Layers(*(f"{x}_{run}" for x in ("bronze", "silver", "gold")), location=str(tmp_path / "layers"))
+    sources = {"yellow": folder}
+
+    def trips():
+        df = read_table(spark, f"{layers.gold}.demand_patterns")
+        return sum(r.trip_count for r in df.collect())
+
+    def month(name, m, n):
+        changes = [
+            {"tpep_pickup_datetime": START.replace(month=m), "tpep_dropoff_datetime": START.replace(month=m, hour=14), "VendorID": j}
+            for j in range(n)
+        ]
+        one_file(spark, folder, name, frame(spark, "yellow", changes))
+
+    month("a", 5, 3)
+    assert refresh_new_files(spark, sources, layers, [YELLOW]) == {"yellow": [(START.year, 5)]}
+    assert trips() == 3
+    month("b", 6, 2)
+    monkeypatch.setattr(pipeline, "refresh_months", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh_new_files(spark, sources, layers, [YELLOW])
+    assert trips() == 3
+    monkeypatch.undo()
+    assert refresh_new_files(spark, sources, layers, [YELLOW]) == {"yellow": []}
+    assert trips() == 5
+    month("a", 7, 4)
+    assert refresh_new_files(spark, sources, layers, [YELLOW]) == {"yellow": [(START.year, 5), (START.year, 7)]}
+    assert trips() == 6

@@ -9,7 +9,13 @@ from tripstrata.plans.gold import (
     replace_summary_months,
     replace_unified_months,
 )
-from tripstrata.plans.pipeline import Layers, PipelineCounts, refresh_months, run_pipeline
+from tripstrata.plans.pipeline import (
+    Layers,
+    PipelineCounts,
+    refresh_months,
+    refresh_new_files,
+    run_pipeline,
+)
 from tripstrata.plans.silver import (
     SilverCounts,
     build_silver,
@@ -36,6 +42,7 @@ __all__ = [
     "load_bronze",
     "rebuild_months",
     "refresh_months",
+    "refresh_new_files",
     "merge_summary",
     "replace_summary_months",
     "replace_unified_months",

@@ -24,6 +24,7 @@ from tripstrata.plans.gold import (
     replace_unified_months,
 )
 from tripstrata.plans.silver import SilverCounts, build_silver, dedup_keys, rebuild_months
+from tripstrata.sources.ledger import load_new_months
 from tripstrata.sources.tables import ensure_layers, read_table
 from tripstrata.spec import DatasetSpec
 
@@ -156,3 +157,50 @@ def refresh_months(
     replace_summary_months(spark, clean, by_label, layers.gold, months)
     if accuracy is not None:
         build_durations(spark, layers.gold, accuracy)
+
+
+def refresh_new_files(
+    spark: SparkSession,
+    sources: Mapping[str, str],
+    layers: Layers,
+    specs: Iterable[DatasetSpec] = ALL,
+    null_policy: str = "quarantine",
+) -> dict[str, list[tuple[int | None, int | None]]]:
+    """Load the files that are new in each source's folder and bring all layers up to date with them.
+
+    Raw tables are kept by a ledger (``<bronze>.<label>_loads``). Only months that new or changed files
+    have rows in are deduplicated, checked, stacked and summed up; the first run builds everything.
+    Returns those months for each source. Months are written down before any row is loaded and until all
+    layers have them, so a run that broke off anywhere can be started again.
+    """
+    by_label = {spec.label: spec for spec in specs if spec.label in sources}
+    layers.create(spark)
+    todo = f"{layers.bronze}.months_to_refresh"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {todo} (label string, year int, month int) USING parquet")
+    changed: dict[str, list[tuple[int | None, int | None]]] = {}
+    for label, spec in by_label.items():
+        table = f"{layers.bronze}.{label}"
+
+        def remember(months: list[tuple], label: str = label) -> None:
+            listed = [(label, *month) for month in months]
+            spark.createDataFrame(listed, "label string, year int, month int").write.insertInto(todo)
+
+        loads = f"{table}_loads"
+        _, changed[label] = load_new_months(spark, sources[label], spec, table, loads, before=remember)
+    clean = {label: layers.clean(label) for label in by_label}
+    fresh = [label for label in by_label if not spark.catalog.tableExists(clean[label])]
+    if fresh or not spark.catalog.tableExists(f"{layers.gold}.{UNIFIED}"):
+        for label, spec in by_label.items():
+            table = f"{layers.bronze}.{label}"
+            build_silver(spark, table, spec, clean[label], layers.quarantine(label), null_policy)
+        build_unified(spark, clean, by_label, layers.gold)
+        build_demand(spark, layers.gold)
+        build_durations(spark, layers.gold)
+        if any(spec.money for spec in by_label.values()):
+            build_revenue(spark, clean, by_label, layers.gold)
+    else:
+        waiting = [tuple(r) for r in read_table(spark, todo).select("year", "month").distinct().collect()]
+        if waiting:
+            refresh_months(spark, layers, waiting, by_label.values(), null_policy)
+    spark.sql(f"TRUNCATE TABLE {todo}")
+    return changed

@@ -1,5 +1,11 @@
 from tripstrata.sources.files import new_files, read_new_files, source_files
-from tripstrata.sources.ledger import ensure_ledger, load_new_files, pending_files, read_files
+from tripstrata.sources.ledger import (
+    ensure_ledger,
+    load_new_files,
+    load_new_months,
+    pending_files,
+    read_files,
+)
 from tripstrata.sources.scan import (
     footers,
     listed_files,
@@ -32,6 +38,7 @@ __all__ = [
     "in_months",
     "listed_files",
     "load_new_files",
+    "load_new_months",
     "new_files",
     "overwrite_months",
     "pending_files",

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,12 +114,30 @@ def load_new_files(
 
     Without a declared schema the table takes on the columns and types of the files, see the module.
     """
+    return load_new_months(spark, path, spec, table, ledger, partition_by)[0]
+
+
+def load_new_months(
+    spark: SparkSession,
+    path: str,
+    spec: DatasetSpec,
+    table: str,
+    ledger: str,
+    partition_by: tuple[str, ...] = ("pickup_year", "pickup_month"),
+    before: Callable[[list[tuple]], None] | None = None,
+) -> tuple[int, list[tuple]]:
+    """``load_new_files`` that also returns the months whose rows have changed, sorted.
+
+    ``before`` is called with them when nothing has been written yet.
+    A load that broke off and is run again returns those of its first try as well: its files are met again,
+    and the months of their rows in the table count as changed.
+    """
     from tripstrata.plans.bronze import bronze_frame
 
     ensure_ledger(spark, ledger)
     pending = _stored(footers(pending_files(spark, path, ledger)), "pending")
     if pending.isEmpty():
-        return 0
+        return 0, []
     load = uuid.uuid4().hex
     found = [
         (T.StructType.fromJson(json.loads(row["schema"])), row["schema"])
@@ -136,6 +155,14 @@ def load_new_files(
     frames = {
         again: bronze_frame(reduce(DataFrame.unionByName, rows), spec) for again, rows in parts.items()
     }
+    months = {tuple(r) for f in frames.values() for r in f.select(*partition_by).distinct().collect()}
+    if True in frames and spark.catalog.tableExists(table):
+        met = pending.where("again").select(SOURCE_FILE)
+        old = spark.table(table).join(met, SOURCE_FILE, "left_semi").select(*partition_by)
+        months |= {tuple(r) for r in old.distinct().collect()}
+    changed = sorted(months, key=str)
+    if before is not None:
+        before(changed)
     _log(pending, ledger, STARTED, load)
     _prepare(spark, table, next(iter(frames.values())), partition_by)
     if False in frames:
@@ -144,7 +171,7 @@ def load_new_files(
     if True in frames:
         replace_files(_stored(frames[True], "again"), table)
     _log(pending, ledger, LOADED, load)
-    return pending.agg(F.sum("row_count")).first()[0]
+    return pending.agg(F.sum("row_count")).first()[0], changed
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
