@@ -7,7 +7,7 @@ import pytest
 
 from tests.llm import plain
 from tests.llm.conftest import SCHEMA, SF, odd_rows
-from tripstrata.llm import minhash, prefix_trie, spelling
+from tripstrata.llm import grouping, minhash, prefix_trie, spelling
 from tripstrata.llm import words as W
 
 TWO = "doc_id long, text string"
@@ -129,9 +129,9 @@ def family_rows():
 @pytest.mark.parametrize("small", [True, False])
 def test_copies_in_near_threshold_families(spark, monkeypatch, small):
     if small:
-        monkeypatch.setattr(minhash, "TILE", 7)
-        monkeypatch.setattr(minhash, "BLOCK_SETS", 11)
-        monkeypatch.setattr(minhash, "BLOCK_ELEMENTS", 9000)
+        monkeypatch.setattr(grouping, "TILE", 7)
+        monkeypatch.setattr(grouping, "BLOCK_SETS", 11)
+        monkeypatch.setattr(grouping, "BLOCK_ELEMENTS", 9000)
     rows = family_rows()
     found = copies(spark.createDataFrame(rows, TWO))
     assert found == expected_copies(rows)

@@ -12,16 +12,18 @@ Exact, and without comparing all pairs:
    of all n-grams in a fixed number of hash buckets: a passage that many documents share stays out of
    the keys. The number of classes of a band is doubled until every set in it fills more than ``d``.
 3. *Tiles.* Sets with a common key are compared with the first of them, in tiles of a few hundred.
-   A tile compares hashed bitmaps: every bit that only one side has set is an element the other side
-   lacks, which bounds the overlap from above. Only what passes is sent as whole sets and intersected
-   exactly, as sorted arrays.
+   A tile compares hashed bitmaps of 2 to 4 bits per element of the band: a bit tells whether its bucket
+   holds an odd number of elements. Every bit in which two bitmaps differ is an element that one side
+   lacks, which bounds the overlap from above, at any size. Only what passes is sent as whole sets and
+   intersected exactly, as sorted arrays.
 4. Links make components. Where a key still has sets of several components, those outside its largest
-   one are compared, in blocks of bounded size, with all sets of the key, except for those known to be
-   connected: by bitmaps first, and what passes as whole sets, once for all keys that hold nearly the same
-   sets. No link between components is lost.
+   one are compared with all sets of the key of other components, in blocks of bounded size, by bitmaps;
+   what passes makes families, and the whole sets of a family are compared once, whatever the number of
+   its keys (``grouping``). No link between components is lost.
 
-A NULL text is an empty one; empty sets link with nothing. A NULL ``doc_id`` is kept and never names
-a component. Rows may repeat, and columns other than ``doc_id`` and the text are ignored.
+A NULL text is an empty one; empty sets link with nothing. Rows without a ``doc_id`` link and connect
+like others but never name a component: theirs is NULL only where no named row is in reach. Rows may
+repeat, and columns other than ``doc_id`` and the text are ignored.
 """
 
 from __future__ import annotations
@@ -30,42 +32,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm import words as W
 from tripstrata.llm.buckets import BucketFilter
-from tripstrata.llm.components import components, written
+from tripstrata.llm.components import written
+from tripstrata.llm.grouping import Grouping, digests, fresh, near_sizes
+from tripstrata.llm.shingles import shingles
 
 U64 = np.uint64
-SIGNATURE_BITS = 2048
-TILE = 256
-BLOCK_SETS, BLOCK_ELEMENTS = 4096, 1_000_000
+LEAST_BITS = 256
+MARK_ELEMENTS = 16_000_000
 ORDER_BUCKETS = 1 << 16
 
 
-def shingles(texts: pa.LargeStringArray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct n-gram hashes of all texts, one after another, and their number per text."""
-    words = W.split(texts)
-    h = W.hashes(words, fold=True)
-    count = words.count
-    grams = np.where(count >= width, count - width + 1, (count > 0).astype(np.int64))
-    owner, place = W.segments(grams)
-    begin = words.first[:-1][owner] + place
-    length = np.minimum(count, width)[owner]
-    total = length.astype(U64) * W.PLACES[7]
-    for k in range(width):
-        inside = length > k
-        at = np.where(inside, begin + k, 0)
-        total += np.where(inside, W.mix(h[at] + U64(k)) * W.PLACES[k % 7], U64(0))
-    total = W.mix(total)
-    order = np.lexsort((total, owner))
-    owner, total = owner[order], total[order]
-    fresh = np.ones(len(total), bool)
-    fresh[1:] = (total[1:] != total[:-1]) | (owner[1:] != owner[:-1])
-    return total[fresh], np.bincount(owner[fresh], minlength=len(count))
-
-
 def _log2(n: np.ndarray) -> np.ndarray:
     return np.frexp(n.astype(np.float64))[1].astype(np.int64) - 1
 
@@ -127,9 +108,7 @@ def _set_rows(width: int, percent: int):
         for piece in W.pieces(batches, budget=1 << 20):
             sets, n = shingles(piece.column("text"), width)
             counts += np.bincount(_order_bucket(sets), minlength=ORDER_BUCKETS)
-            owner, _ = W.segments(n)
-            a = W.mix(W.group_sums(W.mix(sets), owner, len(n)) + n.astype(U64))
-            b = W.mix(W.group_sums(W.mix(sets ^ W.PLACES[3]), owner, len(n)) ^ W.PLACES[5])
+            sid = digests(sets, n)
             refine = np.zeros(len(n), np.int64)
             refine_next = np.zeros(len(n), np.int64)
             for (rows, band), out in zip(_bands(n, percent), (refine, refine_next), strict=True):
@@ -138,11 +117,11 @@ def _set_rows(width: int, percent: int):
                 {
                     "doc_id": piece.column("doc_id").cast(pa.int64()),
                     "n_shingles": pa.array(n, pa.int64()),
-                    "sid": pa.array(a.view(np.int64)),
-                    "sid_b": pa.array(b.view(np.int64)),
+                    "sid": pa.array(np.ascontiguousarray(sid[:, 0])),
+                    "sid_b": pa.array(np.ascontiguousarray(sid[:, 1])),
                     "refine": pa.array(refine, pa.int32()),
                     "refine_next": pa.array(refine_next, pa.int32()),
-                    "marks": pa.array([x.tobytes() for x in signatures(sets, owner, len(n))], pa.binary()),
+                    "marks": pa.array(parity_bitmaps(sets, n), pa.binary()),
                     "counts": pa.nulls(len(n), pa.binary()),
                 }
             )
@@ -172,13 +151,15 @@ def _count_rows(batches):
 
 
 def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | None):
-    """(key, sid) of every set; with ``wanted`` only of the keys in it."""
+    """(key, sid) of every set, once in a task; with ``wanted`` only of the keys in it."""
 
     def rows(batches):
+        seen: set = set()
         for piece in W.pieces(batches, budget=1 << 20):
             sets, n = shingles(piece.column("text"), width)
-            owner, _ = W.segments(n)
-            sid = W.mix(W.group_sums(W.mix(sets), owner, len(n)) + n.astype(U64))
+            sid = digests(sets, n)
+            new = np.flatnonzero((n > 0) & fresh(seen, sid[:, 0], sid[:, 1]))
+            sets, sid, n = _pick(sets, n, new), sid[new, 0], n[new]
             found = []
             for rows, band in _bands(n, percent):
                 if not len(rows):
@@ -187,9 +168,9 @@ def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | No
                 owner, _ = W.segments(own)
                 part = _pick(sets, n, rows)
                 cls = _classes(part, owner, np.minimum(band + depth[band], 64))
-                fresh = np.ones(len(cls), bool)
-                fresh[1:] = (cls[1:] != cls[:-1]) | (owner[1:] != owner[:-1])
-                begin = np.flatnonzero(fresh)
+                starts = np.ones(len(cls), bool)
+                starts[1:] = (cls[1:] != cls[:-1]) | (owner[1:] != owner[:-1])
+                begin = np.flatnonzero(starts)
                 value = np.add.reduceat(W.mix(part ^ W.PLACES[1]), begin)
                 whose = owner[begin]
                 key = W.mix(value + W.mix(cls[begin]) * W.PLACES[2] + band[whose].astype(U64))
@@ -197,7 +178,7 @@ def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | No
                 order = np.lexsort((key, rarity, whose))
                 rank = W.segments(np.bincount(whose, minlength=len(rows)))[1]
                 keep = order[rank <= _differences(own, percent)[whose]]
-                found.append(np.stack([key[keep].view(np.int64), sid[rows][whose[keep]].view(np.int64)]))
+                found.append(np.stack([key[keep].view(np.int64), sid[rows][whose[keep]]]))
             if not found:
                 continue
             key, sid_of = np.concatenate(found, axis=1)
@@ -215,192 +196,99 @@ def _key_rows(width: int, percent: int, depth, common, wanted: BucketFilter | No
     return rows
 
 
-def _wanted_sets(width: int, wanted: BucketFilter):
-    def rows(batches):
-        for piece in W.pieces(batches, budget=1 << 20):
-            doc_id = piece.column("doc_id").cast(pa.int64())
-            ok = wanted.passes(doc_id.fill_null(0).to_numpy(zero_copy_only=False))
-            ok &= doc_id.is_valid().to_numpy(zero_copy_only=False)
-            if not ok.any():
-                continue
-            piece = piece.filter(pa.array(ok))
-            sets, n = shingles(piece.column("text"), width)
-            owner, _ = W.segments(n)
-            a = W.mix(W.group_sums(W.mix(sets), owner, len(n)) + n.astype(U64))
-            b = W.mix(W.group_sums(W.mix(sets ^ W.PLACES[3]), owner, len(n)) ^ W.PLACES[5])
-            ends = np.cumsum(n)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": piece.column("doc_id").cast(pa.int64()),
-                    "sid": pa.array(a.view(np.int64)),
-                    "sid_b": pa.array(b.view(np.int64)),
-                    "elements": pa.array(
-                        [sets[e - k : e].tobytes() for e, k in zip(ends, n, strict=True)],
-                        pa.binary(),
-                    ),
-                }
-            )
-
-    return rows
-
-
-def signatures(sets: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """A bitmap of hash buckets for each set, one row each."""
-    bits = np.zeros(count * SIGNATURE_BITS, bool)
-    bits[owner * SIGNATURE_BITS + (sets & U64(SIGNATURE_BITS - 1)).astype(np.int64)] = True
-    return np.packbits(bits.reshape(count, SIGNATURE_BITS), axis=1).view(U64)
-
-
-def _possible(size, marks, i, js, percent) -> np.ndarray:
-    """Those of ``js`` that may be similar to ``i``, by their sizes and the bits that only one side has."""
-    small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
-    js = js[100 * small >= percent * large]
-    only_i = np.bitwise_count(marks[i] & ~marks[js]).sum(axis=1).astype(np.int64)
-    only_j = np.bitwise_count(marks[js] & ~marks[i]).sum(axis=1).astype(np.int64)
-    bound = np.minimum(size[i] - only_i, size[js] - only_j)
-    return js[(100 + percent) * bound >= percent * (size[i] + size[js])]
+def parity_bitmaps(sets: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A bitmap for each set: whether a hash bucket holds an odd number of elements.
 
-
-def _prune(percent: int):
-    """The sets of a tile that have a possible partner on the other side, by bitmaps alone."""
-
-    def kept(tile: pa.Table) -> pa.Table:
-        marks = np.frombuffer(b"".join(tile.column("marks").to_pylist()), U64).reshape(tile.num_rows, -1)
-        size = tile.column("n_shingles").to_numpy()
-        comp = tile.column("comp").to_numpy()
-        left = np.asarray(tile.column("is_left").to_pylist(), bool)
-        rights, keep = np.flatnonzero(~left), np.zeros(tile.num_rows, bool)
-        for i in np.flatnonzero(left):
-            js = _possible(size, marks, i, rights[comp[rights] != comp[i]], percent)
-            keep[js] = True
-            keep[i] |= len(js) > 0
-        return tile.drop_columns(["marks", "n_shingles"]).filter(pa.array(keep))
-
-    return kept
-
-
-def _compare(percent: int):
-    """Links between the left and the right sets of a tile.
-
-    Sets of one group are known to be connected; of each pair of groups one link is enough, so the
-    search for it ends there.
+    A bucket that is odd on one side only holds an element that the other side lacks. There are 2 to 4 buckets
+    per element, a power of two.
+    """
+    found = [b""] * len(n)
+    depth = _log2(np.maximum(n, LEAST_BITS // 4)) + 2
+    for d in np.unique(depth):
+        rows = np.flatnonzero(depth == d)
+        for lo in range(0, len(rows), max(1, (1 << 23) >> int(d))):
+            some = rows[lo : lo + max(1, (1 << 23) >> int(d))]
+            owner, _ = W.segments(n[some])
+            at = (owner << d) + (_pick(sets, n, some) & U64((1 << int(d)) - 1)).astype(np.int64)
+            odd = (np.bincount(at, minlength=len(some) << int(d)) & 1).astype(np.uint8)
+            packed = np.packbits(odd.reshape(len(some), -1), axis=1, bitorder="little")
+            for k, row in zip(some.tolist(), packed, strict=True):
+                found[k] = row.tobytes()
+    return found
+
+
+def _folded(marks: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps of half as many buckets, and so on, until ``width`` words are left."""
+    while marks.shape[1] > width:
+        half = marks.shape[1] // 2
+        marks = marks[:, :half] ^ marks[:, half:]
+    return marks
+
+
+def _alike(marks: pa.ChunkedArray, size: np.ndarray, percent: int):
+    """Sets whose size and bitmap allow a link.
+
+    The bits in which two bitmaps differ are so many different elements at least, which bounds the overlap
+    from above. Of two bitmaps the longer one is folded to the length of the other.
     """
+    blobs = marks.to_pylist()
+    width = np.array([len(x) for x in blobs]) // 8
+    place = np.zeros(len(blobs), np.int64)
+    of_width = {}
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        place[rows] = np.arange(len(rows))
+        of_width[w] = np.frombuffer(b"".join([blobs[k] for k in rows]), U64).reshape(len(rows), w)
+
+    def pick(i: int, js: np.ndarray) -> np.ndarray:
+        js = near_sizes(size, i, js, percent)
+        own = int(width[i])
+        mine = of_width[own][place[i]][None, :]
+        found = []
+        for w in (own // 2, own, own * 2):
+            rows = js[width[js] == w]
+            if not len(rows):
+                continue
+            theirs = of_width[w][place[rows]]
+            least = min(w, own)
+            differ = np.bitwise_count(_folded(theirs, least) ^ _folded(mine, least)).sum(axis=1).astype(np.int64)
+            both = size[rows] + size[i]
+            found.append(rows[(100 + percent) * (both - differ) >= 2 * percent * both])
+        return np.concatenate(found) if found else js[:0]
 
-    def links(tile: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(x, U64) for x in tile.column("elements").to_pylist()]
-        node = tile.column("node").to_numpy()
-        group = tile.column("comp").to_numpy().copy()
-        left = np.asarray(tile.column("is_left").to_pylist(), bool)
-        size = np.array([len(x) for x in sets])
-        owner, _ = W.segments(size)
-        marks = signatures(np.concatenate(sets), owner, len(sets))
-        rights = np.flatnonzero(~left)
-        out = []
-        for i in np.flatnonzero(left):
-            for j in _possible(size, marks, i, rights[group[rights] != group[i]], percent):
-                if group[j] == group[i]:
-                    continue
-                at = np.searchsorted(sets[i], sets[j])
-                at[at == len(sets[i])] = 0
-                common = int((sets[i][at] == sets[j]).sum())
-                if 100 * common >= percent * (size[i] + size[j] - common):
-                    out.append((node[i], node[j]))
-                    group[group == group[j]] = group[i]
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return pick
 
-    return links
 
+class _Join(Grouping):
+    alike = staticmethod(_alike)
+    mark_elements = MARK_ELEMENTS
 
-class _Join:
     def __init__(self, docs: DataFrame, text: str, width: int, percent: int):
-        self.docs = docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
+        super().__init__(docs, text, width, percent)
+        found = written(
+            self.docs.mapInArrow(
+                _set_rows(width, percent),
+                "doc_id long, n_shingles long, sid long, sid_b long, refine int, refine_next int, "
+                "marks binary, counts binary",
+            ),
+            "sets",
         )
-        self.width, self.percent = width, percent
+        self.common = _bucket_counts(found.where("counts IS NOT NULL").select("counts"))
+        sets = found.where("counts IS NULL")
+        self.depth = _band_depths(sets, percent)
+        self.signed = sets.select("doc_id", "n_shingles", "sid", "sid_b", "marks")
 
-    def sets(self) -> DataFrame:
-        return self.docs.mapInArrow(
-            _set_rows(self.width, self.percent),
-            "doc_id long, n_shingles long, sid long, sid_b long, refine int, refine_next int, "
-            "marks binary, counts binary",
-        )
-
-    def keys(self, depth, common, wanted: BucketFilter | None = None) -> DataFrame:
-        return self.docs.mapInArrow(
-            _key_rows(self.width, self.percent, depth, common, wanted), "key long, sid long"
-        )
-
-    def possible(self, tiles: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-        """The rows of ``tiles(tile, part, node, comp, is_left)`` that bitmaps leave a partner."""
-        key = ["node", "sid", "sid_b"]
-        marks = sets.select(F.col("doc_id").alias("node"), "sid", "sid_b", "marks")
-        schema = "tile long, part int, node long, sid long, sid_b long, comp long, is_left boolean"
-        names = [x.split()[0] for x in schema.split(", ")]
-        return written(
-            tiles.join(nodes, "node")
-            .join(marks, key)
-            .select(*names, "n_shingles", "marks")
-            .groupBy("tile", "part")
-            .applyInArrow(_prune(self.percent), schema),
-            "tiles",
-        )
-
-    def links(self, tiles: DataFrame) -> DataFrame:
-        """Compare the whole sets of the tiles that ``possible`` left."""
-        wanted = BucketFilter(tiles, F.col("node"))
-        found = self.docs.mapInArrow(
-            _wanted_sets(self.width, wanted), "doc_id long, sid long, sid_b long, elements binary"
-        ).withColumnRenamed("doc_id", "node")
-        full = found.join(tiles, ["node", "sid", "sid_b"])
-        full = full.select("tile", "part", "node", "comp", "is_left", "elements")
-        return full.groupBy("tile", "part").applyInArrow(_compare(self.percent), "a long, b long")
+    def keys(self, wanted: BucketFilter | None = None) -> DataFrame:
+        rows = _key_rows(self.width, self.percent, self.depth, self.common, wanted)
+        return self.docs.mapInArrow(rows, "key long, sid long")
 
 
 def jaccard_components(
     docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; see the module."""
-    join = _Join(docs, text, width, percent)
-    found = written(join.sets(), "sets")
-    common = _bucket_counts(found.where("counts IS NOT NULL").select("counts"))
-    sets = found.where("counts IS NULL").drop("counts")
-    nodes = written(
-        sets.where("n_shingles > 0")
-        .groupBy("sid", "sid_b")
-        .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"))
-        .where("node IS NOT NULL"),
-        "nodes",
-    )
-    depth = _band_depths(sets, percent)
-    shared = written(
-        join.keys(depth, common)
-        .groupBy("key")
-        .agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-        .where("low < high")
-        .select("key", "low"),
-        "shared",
-    )
-    members = written(
-        join.keys(depth, common, BucketFilter(shared, F.col("key")))
-        .distinct()
-        .join(shared, "key")
-        .select("key", "low", "sid"),
-        "members",
-    )
-    named = nodes.select("node", "sid", "n_shingles")
-    star = members.where("sid <> low").select("low", "sid").distinct()
-    tiles = join.possible(_star_tiles(star, named), nodes, sets)
-    links = written(join.links(tiles), "links")
-    comps = components(links)
-    unsettled = _unsettled(members, named, comps)
-    if not unsettled.isEmpty():
-        tiles = join.possible(_cross_tiles(_by_key(unsettled)), nodes, sets)
-        left = tiles.select(F.col("tile").alias("key"), "node", "comp").distinct()
-        left = written(left.join(nodes.select("node", "n_shingles"), "node"), "unsettled")
-        tiles = join.possible(_cross_tiles(_by_family(left)), nodes, sets)
-        comps = components(links.unionByName(written(join.links(tiles), "links")))
-    return _labelled(sets, nodes, comps)
+    found = _Join(docs, text, width, percent).rows()
+    return found.select("doc_id", "n_shingles", F.coalesce("name", "doc_id").alias("component_id"))
 
 
 def _bucket_counts(blobs: DataFrame):
@@ -437,132 +325,3 @@ def _band_depths(sets: DataFrame, percent: int) -> np.ndarray:
     return depth
 
 
-def _star_tiles(star: DataFrame, named: DataFrame) -> DataFrame:
-    """Each set beside the first one with the same key, in tiles of bounded size."""
-    parts = star.groupBy("low").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
-    parts = written(parts, "parts")
-    right = star.join(parts, "low").select(
-        F.col("low").alias("tile"),
-        F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int").alias("part"),
-        "sid",
-        F.lit(False).alias("is_left"),
-    )
-    left = parts.select(
-        F.col("low").alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.col("low").alias("sid"),
-        F.lit(True).alias("is_left"),
-    )
-    return (
-        right.unionByName(left)
-        .join(named, "sid")
-        .select("tile", "part", "node", F.col("node").alias("comp"), "is_left")
-    )
-
-
-def _unsettled(members: DataFrame, named: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of the keys that still hold sets of several components."""
-    comp = comps.select("node", F.col("component").alias("comp"))
-    placed = (
-        members.select("key", "sid")
-        .join(named, "sid")
-        .join(comp, "node", "left")
-        .select("key", "node", "n_shingles", F.coalesce("comp", "node").alias("comp"))
-    )
-    mixed = (
-        placed.groupBy("key")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        .where("x < y")
-        .select("key")
-    )
-    return written(placed.join(mixed, "key"), "unsettled")
-
-
-def _by_key(rows: DataFrame) -> DataFrame:
-    """Sets to be compared with the others of their key."""
-    sized = _sized(rows.withColumnRenamed("key", "unit"), "unit", whole_sets=False)
-    rows = rows.select(F.col("key").alias("unit"), "node", "comp")
-    return _minor(rows.join(sized.select(*_SIZES), "unit"))
-
-
-def _by_family(rows: DataFrame) -> DataFrame:
-    """Sets to be compared with the others of their family, or of their key.
-
-    A family is all sets that keys tie together directly or in chains. Most keys of a family hold nearly
-    the same sets, which are then compared once. Where its keys are the smaller work, they are taken.
-    """
-    low = rows.groupBy("key").agg(F.min("node").alias("low"))
-    family = components(rows.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    rows = written(rows.join(family, "node"), "families")
-    by_key = _sized(rows.withColumnRenamed("key", "unit"), "unit", "component")
-    whole = rows.select("node", "n_shingles", "comp", F.col("component").alias("unit")).distinct()
-    by_family = _sized(whole, "unit")
-    work = by_key.groupBy(F.col("component").alias("unit")).agg(F.sum("work").alias("by_key"))
-    chosen = by_family.join(work, "unit").where("work <= by_key")
-    split = by_key.join(chosen.select(F.col("unit").alias("component")), "component", "left_anti")
-    found = whole.select("unit", "node", "comp").join(chosen.select(*_SIZES), "unit")
-    keyed = rows.select(F.col("key").alias("unit"), "node", "comp")
-    return _minor(found.unionByName(keyed.join(split.select(*_SIZES), "unit")))
-
-
-def _minor(rows: DataFrame) -> DataFrame:
-    return written(rows.withColumn("minor", F.col("comp") != F.col("main")), "units")
-
-
-_SIZES = ("unit", "main", "lefts", "rights")
-
-
-def _sized(rows: DataFrame, *unit: str, whole_sets: bool = True) -> DataFrame:
-    """Each unit's largest component, its blocks on either side, and the rows that makes.
-
-    Blocks hold a bounded number of sets, and of elements where whole sets are to be compared.
-    """
-    of_comp = rows.groupBy(*unit, "comp").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("elements")
-    )
-
-    def blocks(n: Column, elements: Column) -> Column:
-        most = F.greatest(n / BLOCK_SETS, elements / BLOCK_ELEMENTS) if whole_sets else n / BLOCK_SETS
-        return F.ceil(most).cast("int")
-
-    sized = (
-        of_comp.groupBy(*unit)
-        .agg(
-            F.max(F.struct("n", "comp", "elements")).alias("largest"),
-            F.sum("n").alias("n"),
-            F.sum("elements").alias("elements"),
-        )
-        .withColumn("minors", F.col("n") - F.col("largest.n"))
-        .withColumn("lefts", blocks(F.col("minors"), F.col("elements") - F.col("largest.elements")))
-        .withColumn("rights", blocks(F.col("n"), F.col("elements")))
-    )
-    work = F.col("n") * F.col("lefts") + F.col("minors") * F.col("rights")
-    return sized.select(*unit, F.col("largest.comp").alias("main"), "lefts", "rights", work.alias("work"))
-
-
-def _cross_tiles(unsettled: DataFrame) -> DataFrame:
-    """The sets outside a key's largest component beside all sets of the key, block by block."""
-    mine = F.pmod(F.xxhash64("node"), F.when(F.col("is_left"), F.col("lefts")).otherwise(F.col("rights")))
-    sides = F.when(F.col("minor"), F.array(F.lit(True), F.lit(False))).otherwise(
-        F.array(F.lit(False))
-    )
-    sided = unsettled.withColumn("is_left", F.explode(sides)).withColumn("block", mine.cast("int"))
-    others = F.when(F.col("is_left"), F.col("rights")).otherwise(F.col("lefts"))
-    paired = sided.withColumn("other", F.explode(F.sequence(F.lit(0), others.cast("int") - 1)))
-    left = F.when(F.col("is_left"), F.col("block")).otherwise(F.col("other"))
-    right = F.when(F.col("is_left"), F.col("other")).otherwise(F.col("block"))
-    part = (left * F.col("rights") + right).cast("int").alias("part")
-    return paired.select(F.col("unit").alias("tile"), part, "node", "comp", "is_left")
-
-
-def _labelled(sets: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    comp = comps.withColumnRenamed("node", "rep")
-    label = written(
-        nodes.join(comp, nodes.node == comp.rep, "left").select(
-            "sid", "sid_b", F.coalesce("component", "node").alias("component_id")
-        ),
-        "labels",
-    )
-    return sets.join(label, ["sid", "sid_b"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
