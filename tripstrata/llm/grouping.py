@@ -336,13 +336,21 @@ def _with_comp(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _crowded(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of the keys that still hold sets of several components."""
+    """Members of the keys that still hold sets of several components; of keys with equal members one."""
     placed = members.select("key", "sid").join(nodes.select("sid", "node", "n_shingles"), "sid")
     placed = _with_comp(placed.drop("sid"), comps)
     mixed = (
         placed.groupBy("key")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+        .agg(
+            F.min("comp").alias("x"),
+            F.max("comp").alias("y"),
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("print_a"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("print_b"),
+        )
         .where("x < y")
+        .groupBy("n", "print_a", "print_b")
+        .agg(F.min("key").alias("key"))
         .select("key")
     )
     return written(placed.join(mixed, "key"), "crowded")

@@ -282,6 +282,14 @@ class _Join(Grouping):
         rows = _key_rows(self.width, self.percent, self.depth, self.common, wanted)
         return self.docs.mapInArrow(rows, "key long, sid long")
 
+    def members(self) -> DataFrame:
+        """As above, from one shuffle of all keys that both sides of the join read: few keys repeat within a
+        task, so counting them there saves nothing, while making them again from the texts costs as much."""
+        keys = self.keys().repartition("key")
+        shared = keys.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+        shared = shared.where("low < high").select("key", "low")
+        return written(keys.join(shared.hint("merge"), "key").select("key", "low", "sid").distinct(), "members")
+
 
 def jaccard_components(
     docs: DataFrame, text: str = "text", width: int = 5, percent: int = 80
