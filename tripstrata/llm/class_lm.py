@@ -40,18 +40,23 @@ _FLUSH = 1 << 21
 _PAIRS = 1 << 20
 _BUCKET = 1 << 18
 _CELLS = 1 << 19
+_NEAR = 1 << 16
+_TABLE = 1 << 22
+_LOOKED_UP = 1 << 16
+_XLOGX = np.arange(_LOOKED_UP + 1) * np.log(np.maximum(np.arange(_LOOKED_UP + 1), 1))
+_FOLD = np.arange(256)
+_FOLD[65:91] += 32
 
 
 def _tokens(texts: pa.LargeStringArray):
     """Hash, tail class and text of each token; each text ends with the end token, of class TAIL."""
     words = W.split(texts)
     h = W.hashes(words, fold=True)
-    folded = words.data.copy()
-    upper = (folded >= 65) & (folded <= 90)
-    folded[upper] += 32
-    last = folded[words.end - 1].astype(np.int64) if len(h) else np.zeros(0, np.int64)
-    two = words.end - words.start > 1
-    before = np.where(two, folded[np.maximum(words.end - 2, 0)], 0) if len(h) else last
+    last = before = np.zeros(0, np.int64)
+    if len(h):
+        last = _FOLD[words.data[words.end - 1]]
+        two = words.end - words.start > 1
+        before = np.where(two, _FOLD[words.data[np.maximum(words.end - 2, 0)]], 0)
     tail = (last * 31 + before) * 0x9E3779B1 % (1 << 32) * TAIL >> 32
     n = words.count
     place = words.first[1:] + np.arange(len(n))
@@ -70,6 +75,16 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[begin], np.add.reduceat(n[order], begin) if len(begin) else n[:0]
 
 
+def _totals(keys: np.ndarray, n: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, all below ``cells``, and their sums; without sorting if a table of them is small."""
+    if cells > _TABLE:
+        at, total = _summed(keys, n)
+        return keys[at], total
+    total = np.bincount(keys, n, cells)
+    at = np.flatnonzero(total)
+    return at, total[at]
+
+
 def _count_rows(batches):
     """Tokens and their numbers; what a task has seen twice is added up before it leaves."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -140,7 +155,9 @@ def _before(symbols: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
+_PARTS = ("own", "other", "n")
 _CONTEXTS = "bucket int, own binary, other binary, n binary"
+_STORED = _CONTEXTS + ", left_own binary, left_other binary, left_n binary"
 
 
 def _context_batch(bucket: np.ndarray, own: np.ndarray, other: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -163,8 +180,8 @@ def _rows(batches):
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _contexts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    own, other, n = (np.frombuffer(row[x], t) for x, t in (("own", "i4"), ("other", "i4"), ("n", "i8")))
+def _contexts(row, side: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own, other, n = (np.frombuffer(row[side + x], t) for x, t in zip(_PARTS, ("i4", "i4", "i8"), strict=True))
     return np.cumsum(own, dtype=np.int64), other.astype(np.int64), n
 
 
@@ -220,15 +237,21 @@ def _context_rows(words, buckets: int):
 
 
 def _merged_rows(batches):
-    """One row for each bucket."""
+    """One row for each bucket; either side has columns of its own, of which the class bigrams need but one."""
     found: dict[int, list] = {}
     for row in _rows(batches):
         found.setdefault(row["bucket"], []).append(row)
     for bucket in list(found):
         parts = [_contexts(row) for row in found.pop(bucket)]
         own, other, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        at, total = _summed(own << 32 | other, n)
-        yield _context_batch(np.full(len(at), bucket), own[at], other[at], total)
+        columns = {"bucket": pa.array([bucket], pa.int32())}
+        for side, name in enumerate(("", "left_")):
+            here = own % 2 == side
+            at, total = _summed(own[here] >> 1 << 32 | other[here], n[here])
+            step = np.diff(own[here][at] >> 1, prepend=0).astype(np.int32)
+            values = (step, other[here][at].astype(np.int32), total.astype(np.int64))
+            columns |= {name + x: pa.array([v.tobytes()]) for x, v in zip(_PARTS, values, strict=True)}
+        yield pa.RecordBatch.from_pydict(columns)
 
 
 def _grid_rows(state, buckets: int):
@@ -239,11 +262,8 @@ def _grid_rows(state, buckets: int):
         grid = np.zeros(size * size, np.int64)
         for row in _rows(batches):
             own, other, n = _contexts(row)
-            right = own % 2 == 0
-            symbol = (own[right] >> 1) * buckets + row["bucket"]
-            pair = of[symbol].astype(np.int64) * size + of[other[right]]
-            at, total = _summed(pair, n[right])
-            grid[pair[at]] += total
+            pair = of[own * buckets + row["bucket"]].astype(np.int64) * size + of[other]
+            grid += np.bincount(pair, n, len(grid)).astype(np.int64)
         at = np.flatnonzero(grid)
         for lo in range(0, len(at), 1 << 17):
             part = at[lo : lo + (1 << 17)]
@@ -253,7 +273,12 @@ def _grid_rows(state, buckets: int):
 
 
 def _f(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1))
+    """``x log x`` of counts; small ones are looked up, which takes half as long as logarithms."""
+    out = _XLOGX[np.clip(x, 0, _LOOKED_UP).astype(np.int32)]
+    large = x >= _LOOKED_UP
+    if large.any():
+        out[large] = x[large] * np.log(x[large])
+    return out
 
 
 def likelihood(grid: np.ndarray) -> float:
@@ -281,7 +306,7 @@ def best_classes(
     movable = now < classes
     for k in (0, 1):
         at = np.flatnonzero(side == k)
-        step = max(1, _CELLS // classes)
+        step = max(1, _NEAR // classes)
         for lo in range(0, len(at), step):
             e = at[lo : lo + step]
             w, d, c = own[e], of[e], n[e][:, None]
@@ -321,27 +346,37 @@ def _move_rows(state, grid, buckets: int, classes: int, turn: int, share: int):
     """Words that gain by another class, of those whose turn it is."""
 
     def rows(batches):
-        of, _ = state.value
+        of, size = state.value
         table = grid.value
         words = len(of) - TAIL - 1
         for row in _rows(batches):
-            own, other, n = _contexts(row)
-            symbol = (own >> 1) * buckets + row["bucket"]
-            due = symbol < words
+            sides = [_contexts(row, name) for name in ("", "left_")]
+            known = np.zeros(1 + max(int(own[-1]) if len(own) else 0 for own, _, _ in sides), bool)
+            for own, _, _ in sides:
+                known[own] = True
+            numbers = np.flatnonzero(known)
+            symbols = numbers * buckets + row["bucket"]
+            due = symbols < words
             if share > 1:
-                due &= W.mix(symbol.astype(U64) + U64(turn << 40)) % U64(share) == 0
-            own, other, n, symbol = own[due], other[due], n[due], symbol[due]
-            if not len(own):
+                due &= W.mix(symbols.astype(U64) + U64(turn << 40)) % U64(share) == 0
+            symbols = symbols[due]
+            if not len(symbols):
                 continue
-            begin = np.flatnonzero(np.diff(symbol, prepend=-1))
-            place = np.cumsum(np.diff(symbol, prepend=-1) != 0) - 1
-            symbols = symbol[begin]
-            itself = other == symbol
-            alone = np.bincount(place[itself & (own % 2 == 0)], n[itself & (own % 2 == 0)], len(symbols))
-            key = (own << 20 | of[other])[~itself]
-            at, total = _summed(key, n[~itself])
-            place = place[~itself][at]
-            side, cls = (key[at] >> 20) % 2, key[at] & ((1 << 20) - 1)
+            rank = np.full(len(known), -1)
+            rank[numbers[due]] = np.arange(len(symbols))
+            keys, counts, alone = [], [], np.zeros(len(symbols))
+            for side, (own, other, n) in enumerate(sides):
+                place = rank[own]
+                itself = other == own * buckets + row["bucket"]
+                if side == 0:
+                    at = itself & (place >= 0)
+                    alone = np.bincount(place[at], n[at], len(symbols))
+                at = ~itself & (place >= 0)
+                keys.append((place[at] * 2 + side) * size + of[other[at]])
+                counts.append(n[at])
+            key, total = _totals(np.concatenate(keys), np.concatenate(counts), len(symbols) * 2 * size)
+            place, rest = np.divmod(key, 2 * size)
+            side, cls = np.divmod(rest, size)
             # A few thousand words at a time bound the tables of words by classes.
             step = max(1, _CELLS // classes)
             for lo in range(0, len(symbols), step):
@@ -380,14 +415,15 @@ def cluster(train: DataFrame, words: Lexicon, tail: np.ndarray, tokens: int) ->
     table = written(
         train.mapInArrow(_context_rows(shared, buckets), _CONTEXTS)
         .repartition(max(8, buckets // 2), "bucket")
-        .mapInArrow(_merged_rows, _CONTEXTS),
+        .mapInArrow(_merged_rows, _STORED),
         "word_contexts",
     )
     shared.destroy()
 
     def bigrams(state) -> np.ndarray:
         found = (
-            table.mapInArrow(_grid_rows(state, buckets), "pair long, n long")
+            table.select("bucket", *_PARTS)
+            .mapInArrow(_grid_rows(state, buckets), "pair long, n long")
             .groupBy("pair")
             .agg(F.sum("n").alias("n"))
             .toPandas()

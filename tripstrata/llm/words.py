@@ -22,6 +22,7 @@ _FOLDING = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LONG = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_IN_WORDS, _IN_FOLDED = (np.where(_SPACE, U64(0), x) for x in (_BYTE, _FOLDED))
 _BASE = U64(0x9E3779B97F4A7C15)
 PLACES = _RANDOM.integers(1, 2**63, 8, dtype=U64) * U64(2) + U64(1)
 
@@ -93,8 +94,8 @@ def split(texts: pa.LargeStringArray) -> Words:
     edge[offsets] = True
     start = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
     end = np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + 1
-    doc = np.searchsorted(offsets, start, side="right") - 1
     first = np.searchsorted(start, offsets)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, offsets, start, end, doc, first)
 
 
@@ -107,14 +108,14 @@ def hashes(words: Words, fold: bool) -> np.ndarray:
     if not len(words.start):
         return np.zeros(0, U64)
     low, high = words.start[0], words.end[-1]
-    values = (_FOLDED if fold else _BYTE)[words.data[low:high]]
-    values[_SPACE[words.data[low:high]]] = 0
-    place = np.arange(low, high) - np.repeat(words.start, np.diff(np.append(words.start, high)))
+    values = (_IN_FOLDED if fold else _IN_WORDS)[words.data[low:high]]
+    begin = words.start - low
+    place = np.arange(high - low) - np.repeat(begin, np.diff(begin, append=high - low))
     powers = np.full(int(place.max()) + 1, _BASE, U64)
     powers[0] = 1
     values *= np.cumprod(powers)[place]
     size = words.end - words.start
-    found = mix(np.add.reduceat(values, words.start - low) + size.astype(U64))
+    found = mix(np.add.reduceat(values, begin) + size.astype(U64))
     for k in np.flatnonzero(size > LONG):
         word = words.data[words.start[k] : words.end[k]].tobytes()
         word = word.translate(_FOLDING) if fold else word
