@@ -47,6 +47,11 @@ STEPS, MOST = 20, 180
 BANDS = (24, 32, 48, 64, 128, 512)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, also inside of functions of array elements."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
     """Structs (start, kind, end, token) of the matches that ``keep`` holds for.
 
@@ -117,13 +122,17 @@ def runs_z(bits: Column) -> Column:
 def serial_z(places: Column) -> Column:
     n = F.size(places)
     mean = F.aggregate(places, F.lit(0.0), lambda a, x: a + x) / n
-    squares = F.aggregate(places, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    products = F.aggregate(
-        F.zip_with(F.slice(places, 1, n - 1), F.slice(places, 2, n - 1), lambda x, y: (x - mean) * (y - mean)),
-        F.lit(0.0),
-        lambda a, x: a + x,
-    )
-    return F.when(squares > 0, products / squares * F.sqrt(n)).otherwise(F.sqrt(n))
+
+    def correlation(apart):
+        squares = F.aggregate(apart, F.lit(0.0), lambda a, x: a + x * x)
+        products = F.aggregate(
+            F.zip_with(F.slice(apart, 1, n - 1), F.slice(apart, 2, n - 1), lambda x, y: x * y),
+            F.lit(0.0),
+            lambda a, x: a + x,
+        )
+        return F.when(squares > 0, products / squares * F.sqrt(n)).otherwise(F.sqrt(n))
+
+    return _let(mean, lambda m: _let(F.transform(places, lambda x: x - m), correlation))
 
 
 def normal_below(z: Column) -> Column:
@@ -137,9 +146,15 @@ def normal_below(z: Column) -> Column:
 
 def _tested(token: Column) -> Column:
     """(stratum, level, random) of a candidate; level is ``-log10 p`` in steps of 1/20."""
-    body = _body(token)
+    return _let(_body(token), lambda body: _let(_size(token), lambda size: _battery(token, body, size)))
+
+
+def _size(token: Column) -> Column:
+    return _by_encoding(token, lambda _, alphabet: F.lit(len(alphabet)))
+
+
+def _battery(token: Column, body: Column, size: Column) -> Column:
     n = F.length(body)
-    size = _by_encoding(token, lambda _, alphabet: F.lit(len(alphabet)))
     extra = _by_encoding(
         token, lambda name, alphabet: F.lit(len(alphabet) * TEXT_CONCENTRATION[name] - 1)
     )
@@ -152,18 +167,20 @@ def _tested(token: Column) -> Column:
     places = _by_encoding(
         token, lambda _, alphabet: F.transform(F.split(body, ""), lambda c: F.instr(F.lit(alphabet), c))
     )
-    chi = chi_squared(body, size)
-    z_text = (chi - (size - 1 + n * extra)) / F.sqrt(2.0 * (size - 1) + 4.0 * n * extra)
-    level = F.least(F.lit(MOST), F.floor(-STEPS * F.log10(F.greatest(normal_below(z_text), F.lit(1e-12)))))
-    uniform = (chi - (size - 1)) / F.sqrt(2.0 * (size - 1)) < REJECT_Z
-    random = (F.abs(runs_z(bits)) < REJECT_Z) & (F.abs(serial_z(places)) < REJECT_Z) & uniform
     band = sum((F.when(n >= b, 1).otherwise(0) for b in BANDS), F.lit(0))
     code = _by_encoding(token, lambda name, _: F.lit([e[0] for e in ENCODINGS].index(name)))
-    usable = n >= 16
-    return F.when(
-        usable,
-        F.struct((code * 10 + band).alias("stratum"), level.cast("int").alias("level"), random.alias("random")),
-    )
+
+    def verdict(chi):
+        z_text = (chi - (size - 1 + n * extra)) / F.sqrt(2.0 * (size - 1) + 4.0 * n * extra)
+        below = F.greatest(_let(z_text, normal_below), F.lit(1e-12))
+        level = F.least(F.lit(MOST), F.floor(-STEPS * F.log10(below)))
+        uniform = (chi - (size - 1)) / F.sqrt(2.0 * (size - 1)) < REJECT_Z
+        even = (F.abs(_let(bits, runs_z)) < REJECT_Z) & (F.abs(_let(places, serial_z)) < REJECT_Z)
+        return F.struct(
+            (code * 10 + band).alias("stratum"), level.cast("int").alias("level"), (even & uniform).alias("random")
+        )
+
+    return F.when(n >= 16, _let(chi_squared(body, size), verdict))
 
 
 def _thresholds(texts: DataFrame, text: Column) -> dict[int, int]:
@@ -217,8 +234,10 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         level = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
 
         def discovered(token):
-            t = _tested(token)
-            return F.coalesce((t["level"] >= level[t["stratum"]]) & t["random"], F.lit(False))
+            return _let(
+                _tested(token),
+                lambda t: F.coalesce((t["level"] >= level[t["stratum"]]) & t["random"], F.lit(False)),
+            )
 
         random = F.filter(
             _spans(whole, CANDIDATE, 4, discovered),
