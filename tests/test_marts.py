@@ -28,7 +28,7 @@ from tripstrata.operators import (
     incomplete_sources,
     unify_trips,
 )
-from tripstrata.operators.marts import _exact_stats
+from tripstrata.operators.marts import _evenly, _exact_stats
 from tripstrata.sources import with_partition_columns
 
 SPECS = {spec.label: spec for spec in ALL}
@@ -175,6 +175,23 @@ def test_exact_and_approximate_percentiles_agree(spark):
     assert duration_histogram(trips).count() < trips.count()
 
 
+def test_samples_are_taken_from_a_bounded_number_of_trips(spark):
+    """And the ranks of approximate percentiles stay within 1 / accuracy."""
+    start = F.lit("2025-05-03 13:30:00").cast("timestamp_ntz")
+    trips = spark.range(50_000).select(
+        F.lit("a").alias("trip_type"),
+        start.alias("pickup_datetime"),
+        F.timestamp_add("SECOND", F.col("id") * 7919 % 50_000 - 300, start).alias("dropoff_datetime"),
+    )
+    spread = _evenly(duration_histogram(trips), 200)
+    assert spread.where("copy IS NOT NULL").count() == 200
+    assert spread.where("coalesce(copy, 1) = 1").agg(F.sum("trips")).first()[0] == 50_000
+    row = duration_stats(trips, accuracy=100).first()
+    assert row.trip_count == 50_000
+    assert abs(row.median_duration_min * 60 + 300 - 25_000) <= 500
+    assert abs(row.p90_duration_min * 60 + 300 - 45_000) <= 500
+
+
 def test_pivot_with_and_without_types(spark):
     demand = spark.createDataFrame(
         [(5, "a", 1), (5, "b", 2), (6, "a", 3)], "pickup_hour int, trip_type string, trip_count bigint"
