@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acceptance.mart_checks import duration_rank_errors
 from tests.rows import START, frame
 from tripstrata import ALL, FHV
 from tripstrata.operators import (
@@ -192,6 +193,13 @@ def test_samples_are_taken_from_a_bounded_number_of_trips(spark):
     assert abs(row.p90_duration_min * 60 + 300 - 45_000) <= 500
 
 
+def test_rank_errors_join_counts_and_no_trips(spark):
+    """Joined trips of a type would all be in one task."""
+    plan = duration_rank_errors(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    side = plan.toString().split("Join Inner", 1)[1].splitlines()[1]
+    assert "Aggregate [trip_type" in side and "count(1)" in side
+
+
 def test_pivot_with_and_without_types(spark):
     demand = spark.createDataFrame(
         [(5, "a", 1), (5, "b", 2), (6, "a", 3)], "pickup_hour int, trip_type string, trip_count bigint"
