@@ -51,6 +51,19 @@ def test_every_distinct_row_is_clean_or_quarantined(spark, refreshed):
         assert report.total == silver.clean_rows + silver.quarantined_rows
 
 
+def test_raw_tables_can_be_read_in_small_parts(spark, refreshed):
+    """Their rows are sorted by the task that reads them, and a task reads whole row groups."""
+    layers, _ = refreshed
+    for label in fx.LABELS:
+        stored = spark.sql(f"SHOW CREATE TABLE {layers.bronze}.{label}").first()[0]
+        assert "'parquet.block.size' = '16777216'" in stored
+
+
+def test_raw_files_are_written_without_a_shuffle(spark, tmp_path):
+    fx.write_raw(spark, SF_DIR, str(tmp_path))
+    assert len(list((tmp_path / "yellow").glob("*.parquet"))) == 1
+
+
 def test_summaries_add_up(spark, refreshed):
     layers, counts = refreshed
     trips = read_table(spark, f"{layers.gold}.trips_unified")

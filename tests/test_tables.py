@@ -6,6 +6,7 @@ from tripstrata import FHVHV
 from tripstrata.names import SOURCE_FILE
 from tripstrata.operators import apply_rules, route
 from tripstrata.plans import with_duration
+from tripstrata.session import SORTED_MB, open_writers, small_sorts
 from tripstrata.sources import (
     ensure_layers,
     in_months,
@@ -263,3 +264,25 @@ def test_views_follow_the_columns_of_a_new_build(spark, database):
     assert read_table(spark, clean).columns[-3:] != read_table(spark, clean).columns[:3]
     assert "it's" in read_table(spark, clean).columns and "it's" in read_table(spark, rejected).columns
     assert "_route" not in read_table(spark, clean).columns and "_batch" not in read_table(spark, clean).columns
+
+
+def test_rows_of_partitioned_writes_are_not_sorted(spark, database):
+    table = f"{database}.t"
+    write_table(trips(spark, [1, 2]), table, partition_by=MONTHS)
+    insert = f"EXPLAIN INSERT INTO {table} SELECT id * 1.0D, 2025, int(id % 12) FROM range(100)"
+    with open_writers(spark):
+        assert "Sort" not in spark.sql(insert).first()[0]
+    assert "Sort" in spark.sql(insert).first()[0]
+
+
+def test_settings_of_a_step_hold_for_all_that_overlap_and_go_back(spark):
+    split, tasks = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
+    before = [spark.conf.get(name) for name in (split, tasks)]
+    outer, inner = small_sorts(spark, 10_000_000), small_sorts(spark, 1)
+    outer.__enter__()
+    inner.__enter__()
+    assert [spark.conf.get(name) for name in (split, tasks)] == [str(SORTED_MB << 20), "20"]
+    outer.__exit__(None, None, None)
+    assert [spark.conf.get(name) for name in (split, tasks)] == [str(SORTED_MB << 20), before[1]]
+    inner.__exit__(None, None, None)
+    assert [spark.conf.get(name) for name in (split, tasks)] == before

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tripstrata.functions.columns import find_column
 from tripstrata.names import INGEST_TIME, SOURCE_FILE
-from tripstrata.session import scratch_dir
+from tripstrata.session import open_writers, scratch_dir
 from tripstrata.sources.scan import (
     _cast_to,
     footers,
@@ -39,7 +39,7 @@ from tripstrata.sources.scan import (
     widest_schema,
     with_source_file,
 )
-from tripstrata.sources.tables import is_streamed, partition_columns, replace_files
+from tripstrata.sources.tables import SORTED_LATER, is_streamed, partition_columns, replace_files
 from tripstrata.spec import DatasetSpec
 
 STARTED, LOADED = "started", "loaded"
@@ -167,7 +167,8 @@ def load_new_months(
     _prepare(spark, table, next(iter(frames.values())), partition_by)
     if False in frames:
         columns = spark.table(table).columns
-        frames[False].select(*columns).write.insertInto(table)
+        with open_writers(spark):
+            frames[False].select(*columns).write.insertInto(table)
     if True in frames:
         replace_files(_stored(frames[True], "again"), table)
     _log(pending, ledger, LOADED, load)
@@ -259,7 +260,8 @@ def _create(
 ) -> None:
     ordered = [f for f in schema.fields if f.name not in keys] + [f for f in schema.fields if f.name in keys]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
+    options = ", ".join(f"'{name}' = '{value}'" for name, value in SORTED_LATER.items())
     spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
+        f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS ({options}) "
         f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{folder}'"
     )
