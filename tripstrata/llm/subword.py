@@ -13,6 +13,10 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tripstrata.llm import words as W
 
 _PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _ODD_CODES = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029]
@@ -21,6 +25,7 @@ _ODD = re.compile("[" + "".join(map(chr, _ODD_CODES)) + "]")
 _HARD = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\f", "\v", "\x1c", "\x1d", "\x1e", "\x1f")
 _PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
 _LONGEST = 64
+_JOINED = 1000
 
 
 class _Memo(dict):
@@ -56,6 +61,7 @@ class Subwords:
         self._model = self.library.model
         self._forget()
         self._words = self._direct_words()
+        self._sizes = self._byte_sizes()
 
     @classmethod
     def of(cls, path: str) -> Subwords:
@@ -66,6 +72,7 @@ class Subwords:
 
     def _forget(self) -> None:
         self._spaced, self._whole = _Memo(self._ids, " "), _Memo(self._ids)
+        self._recent, self._older = {}, {}
 
     def _library_ids(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -131,6 +138,76 @@ class Subwords:
                 out.append(self._library_ids(text))
         return out
 
+    def encode_array(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each text has; no text is NULL.
+
+        Arrow tells which pieces of the texts are equal, so that Python meets each of them once.
+        """
+        odd = pc.match_substring_regex(texts, _ODD.pattern).to_numpy(zero_copy_only=False)
+        pieces, first = W.with_space(texts, odd)
+        coded = pieces.dictionary_encode()
+        places = coded.indices.to_numpy()
+        single = np.zeros(len(coded.dictionary), bool)
+        single[places[first[:-1][odd]]] = True
+        ids = pa.array(self._unique_ids(coded.dictionary, single), pa.large_binary())
+        data, offsets = W.raw(ids.take(coded.indices))
+        return data.view(self.kind), np.diff(offsets[first]) // self.kind.itemsize
+
+    def _unique_ids(self, pieces: pa.LargeStringArray, single: np.ndarray) -> list[bytes]:
+        """Ids of different pieces; the last two generations of pieces are remembered, half of ``limit`` each.
+
+        Pieces between two safe cuts may follow one another in a text, so unknown ones are encoded together.
+        The ``single`` ones and those at an end of their text are not.
+        """
+        if len(self._recent) + len(self._whole) > self.limit // 2:
+            older = self._recent
+            self._forget()
+            self._older = older
+        names = pieces.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._recent.get, names))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if not missing:
+            return found
+        data, offsets = W.raw(pieces)
+        lone = single | ~W.SPACE[data[offsets[:-1]]] | W.SPACE[data[offsets[1:] - 1]]
+        lone, sizes = lone.tolist(), np.diff(offsets)
+        together = []
+        for k in missing:
+            found[k] = self._older.get(names[k])
+            if found[k] is None and (lone[k] or self._sizes is None):
+                found[k] = self._ids(names[k])
+            elif found[k] is None:
+                together.append(k)
+        for k in range(0, len(together), _JOINED):
+            group = together[k : k + _JOINED]
+            for at, ids in zip(group, self._joined([names[x] for x in group], sizes[group]), strict=True):
+                found[at] = ids
+        for k in missing:
+            if len(names[k]) <= _LONGEST:
+                self._recent[names[k]] = found[k]
+        return found
+
+    def _joined(self, pieces: list[str], sizes: np.ndarray) -> list[bytes]:
+        """Ids of pieces that are encoded as one text, cut where the bytes of the tokens reach the ends of the pieces."""
+        ids = self.library.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids
+        ids = np.array(ids, self.kind)
+        reached, ends = np.cumsum(self._sizes[ids]), np.cumsum(sizes)
+        cuts = np.searchsorted(reached, ends)
+        if not len(ids) or reached[-1] != ends[-1] or not np.array_equal(reached[cuts], ends):
+            return list(map(self._ids, pieces))
+        cuts = ((cuts + 1) * self.kind.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+    def _byte_sizes(self) -> np.ndarray | None:
+        """How many bytes of the text each token stands for, if a vocabulary is one of bytes."""
+        if self.library.normalizer or type(self.library.pre_tokenizer).__name__ != "ByteLevel":
+            return None
+        sizes = np.array([len(x or "") for x in self.names])
+        for k, token in self.library.get_added_tokens_decoder().items():
+            sizes[k] = len(token.content.encode())
+        return sizes
+
     def wide(self, ids: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         return np.frombuffer(ids, self.kind).astype("<u4").tobytes()

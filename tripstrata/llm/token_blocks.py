@@ -30,6 +30,7 @@ from tripstrata.llm.components import written
 from tripstrata.llm.subword import Subwords
 from tripstrata.session import scratch_dir
 
+TEXTS = 4 << 20
 BLOCK = 512
 PERCENTILE = 90
 MAGIC = b"PFORTOK1"
@@ -41,6 +42,11 @@ def _width(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
+def _unsigned(width: int) -> np.dtype:
+    """The integers that numbers of so many bits are packed from."""
+    return np.dtype("<u2" if width <= 16 else "<u4")
+
+
 def pack(ids: np.ndarray) -> list[bytes]:
     """Blocks of at most ``BLOCK`` ids each."""
     if not len(ids):
@@ -48,42 +54,65 @@ def pack(ids: np.ndarray) -> list[bytes]:
     count = -(-len(ids) // BLOCK)
     sizes = np.full(count, BLOCK)
     sizes[-1] = len(ids) - BLOCK * (count - 1)
-    table = np.full(count * BLOCK, ids[-1], np.int64)
+    table = np.full(count * BLOCK, ids[-1], ids.dtype)
     table[: len(ids)] = ids
     table = table.reshape(count, BLOCK)
     base = table.min(axis=1)
-    rest = table - base[:, None]
+    rest = (table - base[:, None]).astype("<u2" if ids.dtype.itemsize <= 2 else "<u4", copy=False)
     ranked = np.sort(rest, axis=1)
     width = _width(ranked[:, (BLOCK - 1) * PERCENTILE // 100])
     out: list[bytes] = [b""] * count
-    for w in np.unique(width):
+    for w in np.unique(width).tolist():
         for rows in np.array_split(np.flatnonzero(width == w), max(1, (width == w).sum() // 256)):
-            low = rest[rows] & ((1 << int(w)) - 1)
-            bits = (low[:, :, None] >> np.arange(int(w))) & 1
-            packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1)
-            high = rest[rows] >> int(w)
-            for row, body, over in zip(rows, packed, high, strict=True):
-                n = int(sizes[row])
-                at = np.flatnonzero(over[:n])
-                out[row] = (
-                    _HEAD.pack(int(base[row]), n, int(w), len(at))
-                    + body[: -(-n * int(w) // 8)].tobytes()
-                    + at.astype("<u2").tobytes()
-                    + over[at].astype("<u4").tobytes()
+            values = rest[rows]
+            raw = values.astype(_unsigned(w)).view(np.uint8)
+            bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(rows), BLOCK, -1)[:, :, :w]
+            packed = np.packbits(bits.reshape(len(rows), -1), axis=1)
+            over = values.astype(np.int64) >> w
+            over[np.arange(BLOCK) >= sizes[rows, None]] = 0
+            row, at = np.nonzero(over)
+            high = over[row, at].astype("<u4").tobytes()
+            at = at.astype("<u2").tobytes()
+            ends = np.cumsum(np.bincount(row, minlength=len(rows))).tolist()
+            heads = zip(rows.tolist(), base[rows].tolist(), sizes[rows].tolist(), [0, *ends], ends, strict=False)
+            for body, (k, low, n, a, b) in zip(packed, heads, strict=True):
+                out[k] = (
+                    _HEAD.pack(low, n, w, b - a)
+                    + body[: -(-n * w // 8)].tobytes()
+                    + at[2 * a : 2 * b]
+                    + high[4 * a : 4 * b]
                 )
     return out
 
 
 def unpack(block: bytes) -> np.ndarray:
-    base, n, width, exceptions = _HEAD.unpack_from(block)
-    at = _HEAD.size
-    size = -(-n * width // 8)
-    bits = np.unpackbits(np.frombuffer(block, np.uint8, size, at))[: n * width].reshape(n, width)
-    ids = (bits.astype(np.int64) << np.arange(width)).sum(axis=1)
-    at += size
-    places = np.frombuffer(block, "<u2", exceptions, at)
-    ids[places] += np.frombuffer(block, "<u4", exceptions, at + 2 * exceptions).astype(np.int64) << width
-    return ids + base
+    return unpack_all(block, np.array([0, len(block)]))
+
+
+def unpack_all(blocks: bytes, places: np.ndarray) -> np.ndarray:
+    """The ids of blocks that follow one another; ``places`` are where each begins, and the end of the last."""
+    data, begin = np.frombuffer(blocks, np.uint8), places[:-1]
+    fields = [("base", "<u4"), ("n", "<u2"), ("width", "u1"), ("exceptions", "<u2")]
+    heads = data[begin[:, None] + np.arange(_HEAD.size)].view(fields)[:, 0]
+    sizes, widths = heads["n"].astype(np.int64), heads["width"].astype(np.int64)
+    first = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), "<u4")
+    for n, w in sorted(set(zip(sizes.tolist(), widths.tolist(), strict=True))):
+        rows = np.flatnonzero((sizes == n) & (widths == w))
+        at = begin[rows] + _HEAD.size
+        size = -(-n * w // 8)
+        bits = np.unpackbits(data[at[:, None] + np.arange(size)], axis=1, count=n * w)
+        wide = np.zeros((len(rows), n, 8 * _unsigned(w).itemsize), np.uint8)
+        wide[:, :, :w] = bits.reshape(len(rows), n, w)
+        low = np.packbits(wide.reshape(-1), bitorder="little").view(_unsigned(w)).reshape(len(rows), n)
+        values = low + heads["base"][rows, None]
+        at, more = at + size, heads["exceptions"][rows].astype(np.int64)
+        owner, k = W.segments(more)
+        place = data[(at[owner] + 2 * k)[:, None] + np.arange(2)].view("<u2")[:, 0]
+        high = data[(at[owner] + 2 * more[owner] + 4 * k)[:, None] + np.arange(4)].view("<u4")[:, 0]
+        values[owner, place] += high << np.uint32(w)
+        out[first[rows, None] + np.arange(n)] = values
+    return out
 
 
 class Writer:
@@ -95,7 +124,7 @@ class Writer:
         self._docs: list[np.ndarray] = []
         self._lengths: list[np.ndarray] = []
         self._places: list[int] = []
-        self._rest = np.zeros(0, np.int64)
+        self._rest = np.zeros(0, np.uint16)
 
     def add(self, doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
         self._docs.append(doc_ids.astype("<i8"))
@@ -139,14 +168,13 @@ class Reader:
     def ids(self, start: int, stop: int) -> np.ndarray:
         """The ids from ``start`` to ``stop`` of the file; reads the blocks that hold them."""
         if stop <= start:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, "<u4")
         first, last = start // BLOCK, (stop - 1) // BLOCK
         data = self._file.read_at(
             int(self.places[last + 1] - self.places[first]), int(self.places[first])
         )
-        cuts = self.places[first : last + 2] - self.places[first]
-        found = [unpack(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return np.concatenate(found)[start - first * BLOCK : stop - first * BLOCK]
+        found = unpack_all(data, self.places[first : last + 2] - self.places[first])
+        return found[start - first * BLOCK : stop - first * BLOCK]
 
     def documents(self, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray]]:
         """Place and ids of each document; about ``most`` ids are in memory."""
@@ -179,17 +207,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str)
         words, out, uri = Subwords.of(tokenizer), None, ""
         docs = tokens = 0
         first = first_hash = None
-        for piece in W.pieces(batches, budget=1 << 20):
+        for piece in W.pieces(batches, budget=TEXTS):
             if out is None:
                 uri = f"{folder}/tokens-{uuid.uuid4().hex}.pfor"
                 out, first = Writer(uri), piece.column("doc_id")[0].as_py()
                 first_hash = piece.column("text_hash")[0].as_py()
-            found = words.encode(piece.column("text").to_pylist())
-            ids = [np.frombuffer(x, words.kind) for x in found]
-            lengths = np.array([len(x) + 1 for x in ids])
-            flat = np.concatenate([y for x in ids for y in (x, [end_id])]).astype(np.int64)
-            out.add(piece.column("doc_id").fill_null(NO_ID).to_numpy(), lengths, flat)
-            docs, tokens = docs + len(ids), tokens + len(flat)
+            ids, lengths = words.encode_array(piece.column("text"))
+            kind = np.promote_types(ids.dtype, np.min_scalar_type(end_id))
+            ids = np.insert(ids.astype(kind, copy=False), np.cumsum(lengths), end_id)
+            lengths += 1
+            out.add(piece.column("doc_id").fill_null(NO_ID).to_numpy(), lengths, ids)
+            docs, tokens = docs + len(lengths), tokens + len(ids)
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict(
@@ -220,7 +248,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
             for path, offset in zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True):
                 reader, crc = Reader(path), []
                 for _, _, ids in reader.documents():
-                    crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                    crc.append(zlib.crc32(ids))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array(reader.doc_ids, mask=reader.doc_ids == NO_ID),

@@ -20,9 +20,9 @@ _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]
 _FOLDING = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LONG = 64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_IN_WORDS, _IN_FOLDED = (np.where(_SPACE, U64(0), x) for x in (_BYTE, _FOLDED))
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+_IN_WORDS, _IN_FOLDED = (np.where(SPACE, U64(0), x) for x in (_BYTE, _FOLDED))
 _BASE = U64(0x9E3779B97F4A7C15)
 PLACES = _RANDOM.integers(1, 2**63, 8, dtype=U64) * U64(2) + U64(1)
 
@@ -89,7 +89,7 @@ def raw(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
 def split(texts: pa.LargeStringArray) -> Words:
     data, offsets = raw(texts)
     solid = np.zeros(len(data) + 2, bool)
-    solid[1:-1] = ~_SPACE[data]
+    solid[1:-1] = ~SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     start = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
@@ -99,6 +99,23 @@ def split(texts: pa.LargeStringArray) -> Words:
     return Words(data, offsets, start, end, doc, first)
 
 
+def with_space(texts: pa.LargeStringArray, whole: np.ndarray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The texts cut behind every word, so that a piece is a word and the space before it, and each text's first piece.
+
+    Space at the end of a text is a piece, a text marked ``whole`` is one, and an empty text has none.
+    """
+    data, offsets = raw(texts)
+    space = SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    np.logical_and(~space[:-1], space[1:], out=cut[1:-1])
+    for k in np.flatnonzero(whole):
+        cut[offsets[k] : offsets[k + 1]] = False
+    cut[offsets] = True
+    at = np.flatnonzero(cut).astype(np.int64, copy=False)
+    found = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data))
+    return found, np.searchsorted(at, offsets)
+
+
 def hashes(words: Words, fold: bool) -> np.ndarray:
     """A 64-bit hash of each word; ``fold`` takes A-Z as a-z.
 
