@@ -286,3 +286,17 @@ def test_settings_of_a_step_hold_for_all_that_overlap_and_go_back(spark):
     assert [spark.conf.get(name) for name in (split, tasks)] == [str(SORTED_MB << 20), before[1]]
     inner.__exit__(None, None, None)
     assert [spark.conf.get(name) for name in (split, tasks)] == before
+
+
+def test_settings_that_a_session_leaves_are_not_lowered(spark):
+    """No rows ask for no task, which Spark refuses; few ask for less than its default."""
+    tasks = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(tasks)
+    spark.conf.unset(tasks)
+    try:
+        for rows, held in ((0, "200"), (1, "200"), (200_000_000, "400")):
+            with small_sorts(spark, rows):
+                assert spark.conf.get(tasks) == held
+            assert spark.conf.get(tasks, None) is None
+    finally:
+        spark.conf.set(tasks, before)
