@@ -204,3 +204,15 @@ def test_a_source_left_out_is_reported(spark, tmp_path):
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="no spec"):
         run_pipeline(spark, {"boats": "/none"})
+
+
+def test_a_month_without_rows_is_refreshed_in_a_session_of_defaults(spark, refreshed):
+    layers, counts = refreshed
+    tasks = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(tasks)
+    spark.conf.unset(tasks)
+    try:
+        refresh_months(spark, layers, [(1995, 3)], fx.SPECS.values())
+    finally:
+        spark.conf.set(tasks, before)
+    assert read_table(spark, f"{layers.gold}.trips_unified").count() == counts.gold["trips_unified"]
