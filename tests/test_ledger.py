@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import START, frame
-from tripstrata import FHV, YELLOW
+from tripstrata import FHV, GREEN, YELLOW
 from tripstrata.plans import Layers, pipeline, refresh_new_files
 from tripstrata.sources import (
     ensure_ledger,
@@ -276,3 +276,20 @@ def test_a_refresh_that_broke_off_is_caught_up(spark, folder, tmp_path, monkeypa
     month("a", 7, 4)
     assert refresh_new_files(spark, sources, layers, [YELLOW]) == {"yellow": [(START.year, 5), (START.year, 7)]}
     assert trips() == 6
+
+
+def test_a_source_without_rows_arrives_in_a_session_of_defaults(spark, tmp_path):
+    run = uuid.uuid4().hex
+    layers = Layers(*(f"{x}_{run}" for x in ("bronze", "silver", "gold")), location=str(tmp_path / "layers"))
+    sources = {"yellow": f"{tmp_path}/yellow", "green": f"{tmp_path}/green"}
+    frame(spark, "yellow", [{}]).write.parquet(sources["yellow"])
+    frame(spark, "green", [{}]).limit(0).write.parquet(sources["green"])
+    tasks = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(tasks)
+    spark.conf.unset(tasks)
+    try:
+        months = refresh_new_files(spark, sources, layers, [YELLOW, GREEN])
+    finally:
+        spark.conf.set(tasks, before)
+    assert months == {"yellow": [(START.year, 5)], "green": []}
+    assert read_table(spark, f"{layers.gold}.trips_unified").count() == 1
