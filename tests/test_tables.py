@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from tripstrata import FHVHV
 from tripstrata.names import SOURCE_FILE
 from tripstrata.operators import apply_rules, route
 from tripstrata.plans import with_duration
-from tripstrata.session import SORTED_MB, open_writers, small_sorts
+from tripstrata.session import FREE_SHUFFLES, SORTED_MB, open_writers, small_sorts
 from tripstrata.sources import (
     ensure_layers,
     in_months,
@@ -300,3 +302,20 @@ def test_settings_that_a_session_leaves_are_not_lowered(spark):
             assert spark.conf.get(tasks, None) is None
     finally:
         spark.conf.set(tasks, before)
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_shuffle_files_of_a_write_go_when_it_ends(spark, database):
+    """They do not wait for the driver to collect its garbage."""
+    before = shuffle_files(spark)
+    rows = trips(spark, [1, 2])
+    assert write_table(rows, f"{database}.t", partition_by=MONTHS, layout="rebalance") == 2
+    until = time.monotonic() + 5
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(FREE_SHUFFLES, None) is None

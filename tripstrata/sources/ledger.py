@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tripstrata.functions.columns import find_column
 from tripstrata.names import INGEST_TIME, SOURCE_FILE
-from tripstrata.session import open_writers, scratch_dir
+from tripstrata.session import scratch_dir, table_writes
 from tripstrata.sources.scan import (
     _cast_to,
     footers,
@@ -167,7 +167,7 @@ def load_new_months(
     _prepare(spark, table, next(iter(frames.values())), partition_by)
     if False in frames:
         columns = spark.table(table).columns
-        with open_writers(spark):
+        with table_writes(spark):
             frames[False].select(*columns).write.insertInto(table)
     if True in frames:
         replace_files(_stored(frames[True], "again"), table)
